@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from schemaflow.functions.schema_docs import schema_doc
+from schemaflow.functions.schema_docs import let, schema_doc
 
 LEVELS = ("backward", "forward", "full", "none")
 
@@ -74,14 +74,6 @@ def _one_if(condition: Column, violation: Column) -> Column:
     return F.when(condition, F.array(violation)).otherwise(_nothing())
 
 
-def _names(fields: Column) -> Column:
-    return F.transform(fields, lambda f: f["name"])
-
-
-def _aliases(fields: Column) -> Column:
-    return F.flatten(F.transform(fields, lambda f: f["aliases"]))
-
-
 def _record_names(writer: Column, reader: Column) -> Column:
     renamed = (writer["full_name"] != reader["full_name"]) & ~F.array_contains(reader["aliases"], writer["full_name"])
     return _one_if(renamed, _violation("RecordNameMismatch", F.lit(ROOT_FIELD), writer["full_name"], reader["full_name"]))
@@ -89,7 +81,7 @@ def _record_names(writer: Column, reader: Column) -> Column:
 
 def _matched(writer: Column, reader: Column) -> Column:
     """Each reader field with the writer field it reads: that of its name, else the first one its aliases list."""
-    names = _names(writer["fields"])
+    names = writer["names"]
 
     def pair(field: Column) -> Column:
         by_alias = F.get(F.filter(names, lambda n: F.array_contains(field["aliases"], n)), F.lit(0))
@@ -115,29 +107,36 @@ def _field_rules(match: Column) -> Column:
 
 def _renames(writer: Column, reader: Column) -> Column:
     """Each writer-only field against the first reader-only field of its type."""
-    writer_names, reader_names = _names(writer["fields"]), _names(reader["fields"])
-    reader_aliases = _aliases(reader["fields"])
     reader_only = F.filter(
         reader["fields"],
-        lambda f: ~F.array_contains(writer_names, f["name"]) & ~F.arrays_overlap(f["aliases"], writer_names),
+        lambda f: ~F.array_contains(writer["names"], f["name"]) & ~F.arrays_overlap(f["aliases"], writer["names"]),
     )
     writer_only = F.filter(
         writer["fields"],
-        lambda f: ~F.array_contains(reader_names, f["name"]) & ~F.array_contains(reader_aliases, f["name"]),
-    )
-    tags = F.transform(reader_only, lambda f: f["tag"])
-    heirs = F.transform(
-        writer_only,
-        lambda f: F.struct(
-            f["name"].alias("old"),
-            F.get(reader_only, (F.array_position(tags, f["tag"]) - 1).cast("int"))["name"].alias("new"),
-        ),
-    )
-    return F.transform(
-        F.filter(heirs, lambda h: h["new"].isNotNull()),
-        lambda h: _violation("RenamedWithoutAlias", h["old"], h["old"], h["new"]),
+        lambda f: ~F.array_contains(reader["names"], f["name"])
+        & ~F.array_contains(reader["field_aliases"], f["name"]),
     )
 
+    def renamed(new: Column) -> Column:
+        heirs = F.transform(
+            writer_only,
+            lambda f: F.struct(
+                f["name"].alias("old"),
+                F.get(new["names"], (F.array_position(new["tags"], f["tag"]) - 1).cast("int")).alias("new"),
+            ),
+        )
+        return F.transform(
+            F.filter(heirs, lambda h: h["new"].isNotNull()),
+            lambda h: _violation("RenamedWithoutAlias", h["old"], h["old"], h["new"]),
+        )
+
+    return let(reader_only, lambda fields: let(_columns(fields), renamed))
+
+
+def _columns(fields: Column) -> Column:
+    names, tags = F.transform(fields, lambda f: f["name"]), F.transform(fields, lambda f: f["tag"])
+    return F.struct(names.alias("names"), tags.alias("tags"))
+
 
 def _one_way(writer: Column, reader: Column) -> Column:
     by_field = F.flatten(F.transform(_matched(writer, reader), _field_rules))
@@ -149,17 +148,19 @@ def _removed_required(old: Column, new: Column) -> Column:
 
     Unlike the rename rule this one looks at names only when it asks which new fields are new.
     """
-    old_names, new_names, new_aliases = _names(old["fields"]), _names(new["fields"]), _aliases(new["fields"])
-    added = F.filter(new["fields"], lambda f: ~F.array_contains(old_names, f["name"]))
-    added_tags = F.transform(added, lambda f: f["tag"])
-    gone = F.filter(
-        old["fields"],
-        lambda f: ~F.array_contains(new_names, f["name"])
-        & ~F.array_contains(new_aliases, f["name"])
-        & ~f["has_default"]
-        & ~F.array_contains(added_tags, f["tag"]),
-    )
-    return F.transform(gone, lambda f: _violation("RemovedRequiredField", f["name"]))
+    added = F.filter(new["fields"], lambda f: ~F.array_contains(old["names"], f["name"]))
+
+    def removed(added: Column) -> Column:
+        gone = F.filter(
+            old["fields"],
+            lambda f: ~F.array_contains(new["names"], f["name"])
+            & ~F.array_contains(new["field_aliases"], f["name"])
+            & ~f["has_default"]
+            & ~F.array_contains(added["tags"], f["tag"]),
+        )
+        return F.transform(gone, lambda f: _violation("RemovedRequiredField", f["name"]))
+
+    return let(added, lambda fields: let(_columns(fields), removed))
 
 
 def violations(old: Column, new: Column, level: str) -> Column:
@@ -167,13 +168,20 @@ def violations(old: Column, new: Column, level: str) -> Column:
     level = parse_level(level)
     if level == "none":
         return _nothing()
-    found = {
-        "backward": lambda: [_one_way(old, new), _removed_required(old, new)],
-        "forward": lambda: [_one_way(new, old)],
-        "full": lambda: [_one_way(old, new), _one_way(new, old), _removed_required(old, new)],
-    }[level]()
-    both_records = old["is_record"] & new["is_record"]
-    return F.when(both_records, F.array_distinct(F.concat(*found))).otherwise(_nothing())
+
+    def found(pair: Column) -> Column:
+        old, new = pair["old"], pair["new"]
+        parts = []
+        if level in ("backward", "full"):
+            parts.append(_one_way(old, new))
+        if level in ("forward", "full"):
+            parts.append(_one_way(new, old))
+        if level in ("backward", "full"):
+            parts.append(_removed_required(old, new))
+        both_records = old["is_record"] & new["is_record"]
+        return F.when(both_records, F.array_distinct(F.concat(*parts))).otherwise(_nothing())
+
+    return let(F.struct(old.alias("old"), new.alias("new")), found)
 
 
 def report(found: Column) -> Column:
@@ -193,8 +201,8 @@ def with_docs(registry: DataFrame) -> DataFrame:
 
 def schema_fields(registry: DataFrame) -> DataFrame:
     """The registry flattened to one row per field."""
-    fields = with_docs(registry).select("subject", "version", F.posexplode("doc.fields").alias("pos", "field"))
-    return fields.select("subject", "version", "pos", "field.*")
+    fields = with_docs(registry).select("subject", "version", F.posexplode_outer("doc.fields").alias("pos", "field"))
+    return fields.filter(F.col("pos").isNotNull()).select("subject", "version", "pos", "field.*")
 
 
 def consecutive_pairs(registry: DataFrame) -> DataFrame:
@@ -240,15 +248,17 @@ def chosen_pairs(registry: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def check(pairs: DataFrame, level: str = "backward") -> DataFrame:
     """One row per pair with its ``violations``."""
-    docs = pairs.withColumn("_old", schema_doc(F.col("old_schema"))).withColumn("_new", schema_doc(F.col("new_schema")))
-    found = violations(F.col("_old"), F.col("_new"), level)
-    return docs.withColumn("violations", found).drop("old_schema", "new_schema", "_old", "_new")
+    found = violations(schema_doc(F.col("old_schema")), schema_doc(F.col("new_schema")), level)
+    return pairs.withColumn("violations", found).drop("old_schema", "new_schema")
 
 
 def violation_rows(checked: DataFrame, level: str = "backward") -> DataFrame:
-    """One row per violation; ``ord`` counts from 1 within a pair."""
+    """One row per violation; ``ord`` counts from 1 within a pair.
+
+    The outer form of explode keeps the optimizer from filtering on the array first, which would compute it twice.
+    """
     keys = [c for c in checked.columns if c != "violations"]
-    rows = checked.select(*keys, F.posexplode("violations").alias("ord", "v"))
+    rows = checked.select(*keys, F.posexplode_outer("violations").alias("ord", "v")).filter(F.col("ord").isNotNull())
     return rows.select(*keys, F.lit(level).alias("level"), (F.col("ord") + 1).alias("ord"), "v.*")
 
 

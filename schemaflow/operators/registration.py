@@ -51,15 +51,9 @@ def register(registry: DataFrame, candidates: DataFrame, level: str = "backward"
     current = latest(registry).select(
         "subject", F.col("schema").alias("_latest"), F.col("version").alias("_top"), "versions"
     )
-    both = (
-        single.drop("_n")
-        .join(current, "subject", "left")
-        .withColumn("_old", schema_doc(F.col("_latest")))
-        .withColumn("_new", schema_doc(F.col("schema")))
-    )
-    found = F.when(F.col("_latest").isNull(), violations(F.col("_old"), F.col("_new"), "none")).otherwise(
-        violations(F.col("_old"), F.col("_new"), level)
-    )
+    both = single.drop("_n").join(current, "subject", "left")
+    old, new = schema_doc(F.col("_latest")), schema_doc(F.col("schema"))
+    found = F.when(F.col("_latest").isNull(), violations(old, new, "none")).otherwise(violations(old, new, level))
     accepted = F.size("violations") == 0
     return both.withColumn("violations", found).select(
         "subject",

@@ -16,6 +16,19 @@ def _triggered(writer, interval: str | None, available_now: bool):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval or TRIGGER)
 
 
+def laid_out(df: DataFrame, writers: int | None = None) -> DataFrame:
+    """Bring the rows of an output directory together before the write.
+
+    Straight from the aggregate, every state partition would add a file to every directory. Rows are hashed on the
+    directory and a salt of the customer, so that a directory which holds most of a batch is still written by
+    ``writers`` tasks: by default a sixteenth of the session's shuffle partitions. Only closed windows pass through.
+    """
+    if writers is None:
+        writers = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)
+    salt = F.pmod(F.xxhash64("customer_id"), F.lit(writers))
+    return df.repartition(*PARTITION_COLUMNS, salt)
+
+
 def write_aggregates(
     df: DataFrame,
     path: str,
@@ -23,12 +36,13 @@ def write_aggregates(
     interval: str = TRIGGER,
     name: str | None = None,
     available_now: bool = False,
+    writers: int | None = None,
 ) -> StreamingQuery:
     """Append closed windows below ``path`` in the batch layout; returns the running query.
 
     ``checkpoint`` must stay the same across restarts. With ``available_now`` the query drains its source and stops.
     """
-    writer = df.writeStream.format("parquet").outputMode("append").partitionBy(*PARTITION_COLUMNS)
+    writer = laid_out(df, writers).writeStream.format("parquet").outputMode("append").partitionBy(*PARTITION_COLUMNS)
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
