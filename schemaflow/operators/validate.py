@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark import StorageLevel, cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemaflow.functions import avro_decode
+from schemaflow.functions.avro_decode import check_reader
 from schemaflow.functions.columns import millis_to_time
+from schemaflow.functions.payloads import decode_payload
 from schemaflow.schemas import BAD_ROW, ENVELOPE_COLUMNS, ORDER_ROW
 
-# The decoder travels inside the UDF, so executors need no installed copy of this package.
-cloudpickle.register_pickle_by_value(avro_decode)
-
 BAD_REASON = "decode failed"
 BAD_ONLY_REASON = "malformed"
 
@@ -27,33 +25,6 @@ class Split(NamedTuple):
     tagged: DataFrame
 
 
-def decode_payload(payload: Column, reader: str, writers: list[str]) -> Column:
-    """Struct of the decoded order fields, a ``valid`` flag and the failure, one per payload.
-
-    Marked non-deterministic so that Catalyst never evaluates it twice: a filter on ``valid`` would otherwise be pushed
-    below the projection as a second decode. Only the payload crosses to Python; the position columns stay in the JVM
-    and are pruned from the scan where nobody reads them.
-    """
-    decode = avro_decode.decode_batches
-
-    def run(batches):
-        return decode(batches, reader, writers)
-
-    run.__annotations__ = _ITERATOR_HINTS
-    return F.arrow_udf(run, avro_decode.DECODED_TYPE).asNondeterministic()(payload)
-
-
-def _iterator_hints() -> dict:
-    from collections.abc import Iterator
-
-    import pyarrow as pa
-
-    return {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-
-
-_ITERATOR_HINTS = _iterator_hints()
-
-
 def envelope(df: DataFrame) -> DataFrame:
     """The five columns the split needs."""
     return df.select(*ENVELOPE_COLUMNS)
@@ -66,7 +37,7 @@ def tag(df: DataFrame, reader: str, writers: list[str] = (), order: str = "oldes
     """
     if order not in ("oldest_first", "newest_first"):
         raise ValueError(f"unknown candidate order: {order}")
-    avro_decode.check_reader(reader)
+    check_reader(reader)
     candidates = list(writers) if order == "oldest_first" else list(writers)[::-1]
     decoded = envelope(df).withColumn("_row", decode_payload(F.col("value"), reader, candidates))
     good = F.col("_row.valid")

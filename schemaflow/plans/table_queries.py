@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schemaflow import schemas
-from schemaflow.functions.avro_encode import encode_orders
+from schemaflow.functions.payloads import encode_orders
 from schemaflow.functions.columns import is_date_hour, null_binary
 from schemaflow.operators import aggregate as agg
 from schemaflow.operators import compat, dedup, metrics, registration, sinks

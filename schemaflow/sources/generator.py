@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaflow.functions.avro_encode import encode_orders
+from schemaflow.functions.payloads import encode_orders
 from schemaflow.functions.columns import millis_to_time, null_binary, padded_id, segment_of
 from schemaflow.schemas import ORDER_V2
 from schemaflow.sources.topics import to_envelopes
