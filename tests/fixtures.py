@@ -1,0 +1,54 @@
+"""Inputs shared by the tests."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from schemaflow import schemas
+from schemaflow.functions.payloads import encode_orders
+from schemaflow.sources.topics import to_envelopes
+
+UTC = dt.timezone.utc
+DAY = dt.datetime(2026, 1, 1, tzinfo=UTC)
+
+V4 = json.dumps(
+    {**json.loads(schemas.ORDER_V2), "fields": [*json.loads(schemas.ORDER_V2)["fields"], {"name": "x", "type": "string", "default": "d"}]}
+)
+P1 = bytes.fromhex("046f310463310253d00f00")
+P2 = P1 + b"\x64"
+
+
+def orders(spark, rows):
+    """Order rows from (order, customer, segment, total, minutes after midnight, discount)."""
+    timed = [(o, c, s, t, None if m is None else DAY + dt.timedelta(minutes=m), d) for o, c, s, t, m, d in rows]
+    return spark.createDataFrame(timed, schemas.ORDER_ROW)
+
+
+def envelopes(orders_df, schema=schemas.ORDER_V2):
+    return to_envelopes(
+        orders_df, "orders", F.lit(0), F.xxhash64("order_id"), F.col("event_time"), encode_orders(schema)
+    )
+
+
+def payload_rows(spark, payloads):
+    rows = [("orders", 0, i, DAY + dt.timedelta(seconds=i), p) for i, p in enumerate(payloads)]
+    return spark.createDataFrame([(t, p, o, ts, None if v is None else bytearray(v)) for t, p, o, ts, v in rows], schemas.ENVELOPE)
+
+
+def batch_fixture(spark):
+    """Fifty records of the first version a minute apart; every tenth is garbage."""
+    n = F.col("id")
+    rows = spark.range(50).select(
+        F.format_string("order-%05d", n).alias("order_id"),
+        F.format_string("customer-%03d", n % 5).alias("customer_id"),
+        F.when(n % 2 == 0, "retail").otherwise("wholesale").alias("customer_segment"),
+        (n + 1000).alias("total_cents"),
+        F.timestamp_seconds(F.lit(int(DAY.timestamp())) + n * 60).alias("event_time"),
+        F.lit(0).cast("bigint").alias("discount_cents"),
+        n,
+    )
+    value = F.when(n % 10 == 0, F.unhex(F.lit("00010203"))).otherwise(encode_orders(schemas.ORDER_V1))
+    return to_envelopes(rows, "orders", F.lit(0), n, F.col("event_time"), value)

@@ -1,0 +1,109 @@
+"""The split as a Spark plan."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import plan_of
+from fixtures import P1, P2, V4, batch_fixture, payload_rows
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from schemaflow.operators import metrics
+from schemaflow.operators import validate as val
+from schemaflow.schemas import BAD_ROW, ORDER_ROW, ORDER_V1, ORDER_V2, ORDER_V3
+
+
+def test_fixture_of_fifty(spark):
+    split = val.validate(batch_fixture(spark), ORDER_V2, [ORDER_V1])
+    assert split.valid.count() == 45
+    assert [r[0] for r in split.valid.select("discount_cents").distinct().collect()] == [0]
+    bad = split.bad.orderBy("offset").collect()
+    assert [r["offset"] for r in bad] == [0, 10, 20, 30, 40]
+    assert {bytes(r["payload"]) for r in bad} == {bytes([0, 1, 2, 3])}
+    assert {r["reason"] for r in bad} == {"decode failed"}
+    assert split.valid.columns == ORDER_ROW.fieldNames()
+    assert split.bad.columns == BAD_ROW.fieldNames()
+    assert split.bad.schema["payload"].dataType.typeName() == "binary"
+
+
+def test_null_and_empty_payloads_are_bad(spark):
+    split = val.validate(payload_rows(spark, [None, b"", P2]), ORDER_V2)
+    assert split.valid.count() == 1
+    assert {r["payload"] for r in split.bad.collect()} == {None, b""}
+
+
+def test_counts_and_metrics_agree(spark):
+    split = val.validate(batch_fixture(spark), ORDER_V2, [ORDER_V1])
+    assert val.split_counts(split).first().asDict() == {"valid_count": 45, "bad_count": 5}
+    snapshot = metrics.snapshot(split)
+    total = batch_fixture(spark).agg(F.sum(F.octet_length("value"))).first()[0]
+    assert snapshot == {"records_in": 50, "records_valid": 45, "records_bad": 5, "bytes_in": total}
+    seen = Observation("seen")
+    metrics.observed(split.tagged, seen).write.format("noop").mode("overwrite").save()
+    assert seen.get == snapshot
+
+
+def test_metrics_of_nothing(spark):
+    split = val.validate(batch_fixture(spark).limit(0), ORDER_V2)
+    assert set(metrics.snapshot(split).values()) == {0}
+
+
+def test_reader_without_the_columns_raises_on_the_driver(spark):
+    with pytest.raises(ValueError, match="total_cents"):
+        val.validate(batch_fixture(spark), ORDER_V3, [ORDER_V1, ORDER_V2])
+    with pytest.raises(ValueError, match="order"):
+        val.tag(batch_fixture(spark), ORDER_V2, [], order="random")
+
+
+def test_candidate_order(spark):
+    rows = payload_rows(spark, [P2])
+    oldest = val.validate(rows, V4, [ORDER_V1, ORDER_V2]).valid.first()
+    newest = val.validate(rows, V4, [ORDER_V1, ORDER_V2], order="newest_first").valid.first()
+    assert (oldest["discount_cents"], newest["discount_cents"]) == (0, 50)
+
+
+def test_bad_only(spark):
+    rows = val.bad_only(payload_rows(spark, [P1, b""]))
+    assert rows.columns == BAD_ROW.fieldNames()
+    assert {r["reason"] for r in rows.collect()} == {"malformed"}
+
+
+def test_replay(spark, tmp_path):
+    bad = val.validate(payload_rows(spark, [P1, b"\x00\x01"]), ORDER_V2).bad
+    assert bad.count() == 2
+    again = val.replay(bad, ORDER_V2, [ORDER_V1])
+    assert (again.valid.count(), again.bad.count()) == (1, 1)
+    assert bytes(again.bad.first()["payload"]) == b"\x00\x01"
+
+
+def test_failures_can_be_kept(spark):
+    tagged = val.validate(payload_rows(spark, [P1, b""]), ORDER_V2).tagged
+    assert {r["failure"] for r in val.bad_rows(tagged, with_failure=True).collect()} == {"end of input", "empty payload"}
+
+
+def test_one_decode_and_only_the_payload_is_read(spark, tmp_path):
+    path = str(tmp_path / "in")
+    batch_fixture(spark).write.parquet(path)
+    split = val.validate(spark.read.parquet(path), ORDER_V2, [ORDER_V1])
+    plan = plan_of(split.valid)
+    assert plan.count("ArrowEvalPython") == 1
+    assert "ReadSchema: struct<value:binary>" in plan
+    assert plan_of(split.bad).count("ArrowEvalPython") == 1
+
+
+def test_position_filters_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "in")
+    batch_fixture(spark).write.parquet(path)
+    picked = spark.read.parquet(path).filter("offset >= 10 and offset < 20")
+    plan = plan_of(val.validate(picked, ORDER_V2).valid)
+    assert "GreaterThanOrEqual(offset,10)" in plan
+
+
+def test_held_split_decodes_once(spark):
+    split = val.hold(val.validate(batch_fixture(spark), ORDER_V2, [ORDER_V1]))
+    try:
+        assert metrics.snapshot(split)["records_in"] == 50
+        for side in (split.valid, split.bad):
+            assert "InMemoryTableScan" in plan_of(side)
+    finally:
+        val.release(split)
