@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from fixtures import P2, payload_rows
+from pyspark.sql import functions as F
+
+from schemaflow.operators.aggregate import aggregate
+from schemaflow.operators.validate import validate
+from schemaflow.schemas import ORDER_V2
+from schemaflow.sources import generator, topics
+
+
+class Recorder:
+    """Stands in for a reader whose package is not installed."""
+
+    def __init__(self):
+        self.options = {}
+
+    def format(self, name):
+        self.options["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        return self.options
+
+
+class Session:
+    def __init__(self):
+        self.read, self.readStream = Recorder(), Recorder()
+
+
+def test_kafka_options():
+    common = {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "orders",
+        "failOnDataLoss": "false",
+    }
+    batch = topics.read_topic(Session(), "b:9092", "orders")
+    assert batch == {**common, "startingOffsets": "earliest", "endingOffsets": "latest"}
+    assert topics.stream_topic(Session(), "b:9092", "orders") == {**common, "startingOffsets": "latest"}
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    two = payload_rows(spark, [P2] * 6).unionByName(payload_rows(spark, [P2] * 6).withColumn("partition", F.lit(1)))
+    return two.unionByName(payload_rows(spark, [P2]).withColumn("topic", F.lit("other")))
+
+
+@pytest.mark.parametrize(
+    "starting, ending, count",
+    [
+        ("earliest", "latest", 12),
+        ("latest", "latest", 0),
+        ("earliest", "earliest", 0),
+        ({"0": 2, "1": -2}, "latest", 10),
+        ({"0": 2}, "latest", 4),
+        ("earliest", {"0": 3, "1": -1}, 9),
+        ({"0": 1, "1": 5}, {"0": 3, "1": 5}, 2),
+        ({"0": -1}, "latest", 0),
+    ],
+)
+def test_offset_specs(stored, starting, ending, count):
+    def spec(s):
+        return s if isinstance(s, str) else json.dumps({"orders": s})
+
+    assert topics.read_envelopes(stored, "orders", spec(starting), spec(ending)).count() == count
+
+
+def test_generated_rows_do_not_depend_on_partitions(spark):
+    few = generator.order_rows(spark.range(0, 3000, 1, 1))
+    many = generator.order_rows(spark.range(0, 3000, 1, 7))
+    assert few.exceptAll(many).count() == 0
+    assert few.count() == 3000
+
+
+def test_generated_shape(spark):
+    events = generator.generate(spark, 3000)
+    assert events.columns == ["topic", "partition", "offset", "timestamp", "value", "key"]
+    split = validate(events, ORDER_V2)
+    assert split.bad.count() == 0
+    bounds = split.valid.agg(
+        F.min("total_cents"), F.max("total_cents"), F.min("discount_cents"), F.max("discount_cents"), F.min("order_id"),
+        F.max("order_id"), F.count_distinct("customer_segment"), F.max(F.unix_millis("event_time")),
+        F.min("customer_id"), F.max("customer_id"),
+    ).first()
+    assert bounds[0] >= 100 and bounds[1] <= 50_099 and bounds[2] >= 0 and bounds[3] <= 499
+    assert (bounds[4], bounds[5], bounds[6]) == ("order-0000000000", "order-0000002999", 3)
+    assert bounds[7] == 1_767_225_600_000 + 2999 * 13
+    assert bounds[8] >= "customer-00000" and bounds[9] <= "customer-00999"
+
+
+def test_generated_million_has_every_group(spark):
+    """The benchmark's 12,000 groups: every customer in every segment and hour."""
+    rows = generator.order_rows(spark.range(0, 1_000_000, 1, 8))
+    assert aggregate(rows, "1 hour").count() == 12_000

@@ -1,0 +1,184 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from fixtures import DAY, envelopes, orders
+from pyspark.sql import functions as F
+
+from schemaflow.functions.columns import is_date_hour
+from schemaflow.operators.aggregate import in_segments, total_orders
+from schemaflow.operators.validate import validate
+from schemaflow.schemas import AGGREGATE_COLUMNS, ORDER_V1, ORDER_V2
+from schemaflow.sources import tables, topics
+from schemaflow.streaming import aggregate as sagg
+from schemaflow.streaming import sinks as ssinks
+from schemaflow.streaming.job import StreamPaths, run_stream
+
+
+def hour_orders(spark, n=1000):
+    """``n`` orders over five hours, and the sentinel a day later."""
+    i = F.col("id")
+    rows = spark.range(n).select(
+        F.format_string("order-%05d", i).alias("order_id"),
+        F.format_string("customer-%03d", i % 5).alias("customer_id"),
+        F.when(i % 2 == 0, "retail").otherwise("wholesale").alias("customer_segment"),
+        (i + 1000).alias("total_cents"),
+        F.timestamp_seconds(F.lit(int(DAY.timestamp())) + F.floor(i * 18000 / n)).alias("event_time"),
+        F.lit(0).cast("bigint").alias("discount_cents"),
+    )
+    return rows.unionByName(orders(spark, [("sentinel", "sentinel", "sentinel", 0, 1440, 0)]))
+
+
+def drain(df, tmp_path, name, **more):
+    query = ssinks.write_aggregates(
+        df, str(tmp_path / "out"), str(tmp_path / "checkpoint"), name=name, available_now=True, **more
+    )
+    assert query.name == name
+    assert ssinks.drain(query)
+    return query
+
+
+def stored(spark, tmp_path):
+    return in_segments(tables.read_aggregates(spark, str(tmp_path / "out")), "sentinel")
+
+
+@pytest.fixture
+def thousand(spark, tmp_path):
+    source = str(tmp_path / "in")
+    envelopes(hour_orders(spark)).write.parquet(source)
+    return source
+
+
+def test_thousand_events(spark, tmp_path, thousand):
+    valid = validate(topics.stream_envelopes(spark, thousand), ORDER_V2).valid
+    drain(sagg.aggregate_stream(valid, "1 hour"), tmp_path, "thousand")
+    landed = stored(spark, tmp_path)
+    assert sorted(landed.columns) == sorted(AGGREGATE_COLUMNS)
+    assert total_orders(landed).first()[0] == 1000
+    assert landed.filter(F.col("order_id_distinct") != F.col("order_count")).count() == 0
+    hours = landed.select("date_hour").distinct()
+    assert hours.count() == 5
+    assert hours.filter(~is_date_hour(F.col("date_hour"))).count() == 0
+
+
+def test_restart_adds_nothing(spark, tmp_path, thousand):
+    def run():
+        valid = validate(topics.stream_envelopes(spark, thousand), ORDER_V2).valid
+        drain(sagg.aggregate_stream(valid, "1 hour"), tmp_path, "restarted")
+        return stored(spark, tmp_path).count()
+
+    assert run() == run()
+
+
+def test_exact_distinct(spark, tmp_path):
+    rows = hour_orders(spark)
+    again = rows.filter("order_id = 'order-00007'")
+    source = str(tmp_path / "in")
+    envelopes(rows.unionByName(again)).write.parquet(source)
+    valid = validate(topics.stream_envelopes(spark, source), ORDER_V2).valid
+    drain(sagg.aggregate_stream_exact(valid, "1 hour"), tmp_path, "exact")
+    sums = stored(spark, tmp_path).agg(F.sum("order_count"), F.sum("order_id_distinct"), F.sum("net_cents_sum")).first()
+    assert (sums[0], sums[1]) == (1001, 1000)
+    assert sums[2] == sum(range(1000, 2000)) + 1007
+
+
+def test_sketch(spark, tmp_path, thousand):
+    valid = validate(topics.stream_envelopes(spark, thousand), ORDER_V2).valid
+    drain(sagg.aggregate_stream_sketch(valid, "1 hour"), tmp_path, "sketch")
+    sums = stored(spark, tmp_path).agg(F.sum("order_count"), F.sum("order_id_distinct")).first()
+    assert sums[0] == 1000
+    assert abs(sums[1] - 1000) < 100
+
+
+def test_late_rows_are_dropped(spark, tmp_path):
+    """One file per micro-batch: a late row is dropped from the second batch after the watermark passed it."""
+    steps = [
+        [("a", 0), ("b", 300)],
+        [("c", 300)],
+        [("late", 10), ("d", 270)],
+        [("sentinel", 1440)],
+    ]
+    source = tmp_path / "in"
+    source.mkdir()
+    for n, step in enumerate(steps):
+        rows = [(o, "c1", "sentinel" if o == "sentinel" else "S", 100, m, 0) for o, m in step]
+        part = str(tmp_path / f"part{n}")
+        envelopes(orders(spark, rows)).coalesce(1).write.parquet(part)
+        name = next(f for f in os.listdir(part) if f.endswith(".parquet"))
+        target = source / f"{n}.parquet"
+        target.write_bytes(open(os.path.join(part, name), "rb").read())
+        os.utime(target, (1_000_000 + n, 1_000_000 + n))
+    stream = topics.stream_envelopes(spark, str(source), files_per_trigger=1)
+    query = drain(sagg.aggregate_stream(validate(stream, ORDER_V2).valid, "1 hour"), tmp_path, "late")
+    rows = stored(spark, tmp_path).collect()
+    assert {r["date_hour"][-2:]: r["order_count"] for r in rows} == {"00": 1, "04": 1, "05": 2}
+    dropped = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+    assert dropped == 1
+
+
+def test_watermark_is_ignored_in_batch(spark):
+    rows = [("o1", "c1", "S", 1000, 600, 0)]
+    plain = sagg.aggregate_stream(orders(spark, rows), "1 hour").collect()
+    assert [(r["order_count"], r["order_id_distinct"]) for r in plain] == [(1, 1)]
+    assert sagg.with_watermark(orders(spark, rows)).count() == 1
+
+
+def test_job_with_dead_letters(spark, tmp_path):
+    source = str(tmp_path / "in")
+    good = envelopes(hour_orders(spark), ORDER_V1)
+    bad = good.limit(7).withColumn("value", F.unhex(F.lit("00010203")))
+    good.unionByName(bad).write.parquet(source)
+    rows = [("orders", 1, ORDER_V1), ("orders", 2, ORDER_V2)]
+    registry = spark.createDataFrame(rows, "subject string, version int, schema string")
+    paths = StreamPaths(*(str(tmp_path / n) for n in ("out", "checkpoint", "bad", "summary")))
+
+    def run():
+        stream = topics.stream_envelopes(spark, source)
+        queries = run_stream(stream, registry, "orders", paths, name="job", available_now=True)
+        assert all(ssinks.drain(q) for q in queries)
+        return queries
+
+    first = run()
+    observed = [p.observedMetrics.get("records") for p in first[0].recentProgress]
+    assert max(o["records_bad"] for o in observed if o) == 7
+    run()
+    letters = spark.read.option("recursiveFileLookup", "true").parquet(paths.bad)
+    assert letters.count() == 7
+    assert {bytes(r["payload"]) for r in letters.collect()} == {bytes([0, 1, 2, 3])}
+    summary = spark.read.option("recursiveFileLookup", "true").parquet(paths.bad_summary).collect()
+    assert [(r["bad_count"], r["sample_reason"]) for r in summary] == [(7, "negative length")]
+    assert total_orders(stored(spark, tmp_path)).first()[0] == 1000
+
+
+def test_processing_time_trigger_runs_until_stopped(spark, tmp_path, thousand):
+    valid = validate(topics.stream_envelopes(spark, thousand), ORDER_V2).valid
+    query = ssinks.write_aggregates(
+        sagg.aggregate_stream(valid, "1 hour"), str(tmp_path / "out"), str(tmp_path / "cp"), "1 second", "ticking"
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert stored(spark, tmp_path).count() > 0
+
+
+def test_drain_stops_a_query_that_goes_on(spark, tmp_path, thousand):
+    valid = validate(topics.stream_envelopes(spark, thousand), ORDER_V2).valid
+    query = ssinks.write_aggregates(
+        sagg.aggregate_stream(valid, "1 hour"), str(tmp_path / "out"), str(tmp_path / "cp"), "1 hour"
+    )
+    assert not ssinks.drain(query, seconds=1)
+    assert not query.isActive
+
+
+def test_hot_directory_is_shared_by_writers(spark):
+    rows = [(f"o{i}", f"c{i}", "S", 1, 0, 0) for i in range(200)]
+    out = ssinks.laid_out(sagg.aggregate_stream(orders(spark, rows), "1 hour"), writers=4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        busy = out.select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert busy > 1
