@@ -304,7 +304,7 @@ def dedup_latest(spark, sf):
     path = scratch_dir(spark, "dedup")
     sinks.write_aggregates(sinks.stamped(stale_daily(spark, sf)), path)
     sinks.write_aggregates(sinks.stamped(corrected_daily(spark, sf)), path)
-    return zoneless(dedup.latest_writes(tables.read_aggregates(spark, path)).drop("written_at"))
+    return zoneless(dedup.latest_writes(tables.read_aggregates(spark, path, stamped=True)).drop("written_at"))
 
 
 def dynamic_overwrite(spark, sf):
@@ -475,46 +475,39 @@ DERIVED_WIDTH = 6
 DERIVED_SPACE = "fixtures.events"
 
 
-def _pick(values, index: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
-
-
 def derived_schema(number: Column, k: Column) -> Column:
     """Avro schema text whose fields, types, defaults, aliases and record name depend on two numbers of a row."""
 
-    def field(j: Column) -> Column:
+    def kind(h: Column, place: int) -> Column:
+        plain = f'"{DERIVED_TYPES[place]}"'
+        if DERIVED_TYPES[place] != "long":
+            return F.lit(plain)
+        return F.when(h % 2 == 1, '{"type":"long","logicalType":"timestamp-millis"}').otherwise(plain)
+
+    def field(j: int) -> Column:
         h = (number * 31 + k * 17 + j * 101) % 97
-        renamed = h % 13 == 2
-        place = (j + F.when(h % 11 == 3, 1).otherwise(0)) % 7
-        base = F.concat(F.lit('"'), _pick(DERIVED_TYPES, place), F.lit('"'))
-        base = F.when(
-            (place == 1) & (h % 2 == 1), F.lit('{"type":"long","logicalType":"timestamp-millis"}')
-        ).otherwise(base)
+        shifted = h % 11 == 3
+        places = (j + 1) % 7, j % 7
+        base = F.when(shifted, kind(h, places[0])).otherwise(kind(h, places[1]))
+        default = F.when(shifted, DERIVED_DEFAULTS[places[0]]).otherwise(DERIVED_DEFAULTS[places[1]])
         nullable = h % 7 == 1
-        default = F.when(nullable, "null").otherwise(_pick(DERIVED_DEFAULTS, place))
         text = F.concat(
-            F.lit('{"name":"'),
-            F.when(renamed, "g").otherwise("f"),
-            j.cast("string"),
-            F.lit('","type":'),
+            F.when(h % 13 == 2, f'{{"name":"g{j}","type":').otherwise(f'{{"name":"f{j}","type":'),
             F.when(nullable, F.concat(F.lit('["null",'), base, F.lit("]"))).otherwise(base),
-            F.when(renamed & (h % 2 == 0), F.concat(F.lit(',"aliases":["f'), j.cast("string"), F.lit('"]'))).otherwise(
-                ""
-            ),
-            F.when(h % 3 == 0, F.concat(F.lit(',"default":'), default)).otherwise(""),
-            F.lit("}"),
+            F.when((h % 13 == 2) & (h % 2 == 0), f',"aliases":["f{j}"]').otherwise(""),
+            F.when(h % 3 != 0, "}")
+            .when(nullable, ',"default":null}')
+            .otherwise(F.concat(F.lit(',"default":'), default, F.lit("}"))),
         )
         return F.when(h % 5 != 0, text)
 
-    places = F.sequence(F.lit(0), F.lit(DERIVED_WIDTH - 1))
-    fields = F.filter(F.transform(places, field), lambda f: f.isNotNull())
     return F.concat(
         F.lit('{"type":"record","name":"'),
         F.when(k % 10 == 0, "Purchase").otherwise("Order"),
         F.lit(f'","namespace":"{DERIVED_SPACE}"'),
         F.when(k % 20 == 0, ',"aliases":["Order"]').otherwise(""),
         F.lit(',"fields":['),
-        F.array_join(fields, ","),
+        F.concat_ws(",", *[field(j) for j in range(DERIVED_WIDTH)]),
         F.lit("]}"),
     )
 

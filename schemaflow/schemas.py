@@ -40,18 +40,21 @@ BAD_ROW = T.StructType(
     ]
 )
 
-AGGREGATE_COLUMNS = [
-    "customer_id",
-    "customer_segment",
-    "window_start",
-    "window_end",
-    "date_hour",
-    "order_count",
-    "net_cents_sum",
-    "net_cents_avg",
-    "net_cents_max",
-    "order_id_distinct",
-]
+AGGREGATE_ROW = T.StructType(
+    [
+        T.StructField("customer_id", T.StringType()),
+        T.StructField("customer_segment", T.StringType()),
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("date_hour", T.StringType()),
+        T.StructField("order_count", T.LongType()),
+        T.StructField("net_cents_sum", T.LongType()),
+        T.StructField("net_cents_avg", T.DoubleType()),
+        T.StructField("net_cents_max", T.LongType()),
+        T.StructField("order_id_distinct", T.LongType()),
+    ]
+)
+AGGREGATE_COLUMNS = AGGREGATE_ROW.fieldNames()
 PARTITION_COLUMNS = ["date_hour", "customer_segment"]
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from schemaflow.schemas import PARTITION_COLUMNS
+from schemaflow.schemas import AGGREGATE_ROW
+
+WRITTEN_AT = T.StructField("written_at", T.TimestampType())
 
 
 def read_aggregates(
@@ -15,12 +17,15 @@ def read_aggregates(
     first_hour: str | None = None,
     last_hour: str | None = None,
     segments: list[str] | None = None,
+    stamped: bool = False,
 ) -> DataFrame:
-    """Partitioned output with its partition columns; hour bounds (inclusive) and segments prune directories."""
-    found = spark.read.parquet(path).schema
-    # Directory values are text even where they look like numbers.
-    fields = [T.StructField(f.name, T.StringType()) if f.name in PARTITION_COLUMNS else f for f in found.fields]
-    df = spark.read.schema(T.StructType(fields)).parquet(path)
+    """Partitioned output with its partition columns; hour bounds (inclusive) and segments prune directories.
+
+    The schema is given and not inferred: files are listed once, no footer is opened for it, and directory values stay
+    text even where they look like numbers. ``stamped`` output has the ``written_at`` column too.
+    """
+    schema = T.StructType([*AGGREGATE_ROW.fields, *([WRITTEN_AT] if stamped else [])])
+    df = spark.read.schema(schema).parquet(path)
     if first_hour is not None:
         df = df.filter(F.col("date_hour") >= first_hour)
     if last_hour is not None:

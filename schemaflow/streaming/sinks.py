@@ -69,9 +69,12 @@ def write_dead_letters(
         place = f"query={query}/batch={batch_id}"
         bad = bad_rows(batch, with_failure=True).persist()
         try:
-            bad.drop("failure").write.mode("overwrite").parquet(f"{path}/{place}")
-            summary = summarize(bad).filter(F.col("bad_count") > 0)
-            summary.write.mode("overwrite").parquet(f"{summary_path}/{place}")
+            found = summarize(bad).persist()
+            # One row; taking it also fills the cache that the write below reads.
+            if found.first()["bad_count"] > 0:
+                bad.drop("failure").write.mode("overwrite").parquet(f"{path}/{place}")
+                found.write.mode("overwrite").parquet(f"{summary_path}/{place}")
+            found.unpersist()
         finally:
             bad.unpersist()
 

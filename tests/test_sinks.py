@@ -38,7 +38,7 @@ def test_append_doubles_and_dedup_restores(spark, tmp_path):
     sinks.write_aggregates(sinks.stamped(sample(spark)), path)
     newer = sample(spark).withColumn("order_count", F.col("order_count") + 100)
     sinks.write_aggregates(sinks.stamped(newer), path, coalesce_to=0)
-    stored = tables.read_aggregates(spark, path)
+    stored = tables.read_aggregates(spark, path, stamped=True)
     assert stored.count() == 100
     latest = dedup.latest_writes(stored)
     assert latest.columns == stored.columns

@@ -145,6 +145,7 @@ def test_job_with_dead_letters(spark, tmp_path):
     run()
     letters = spark.read.option("recursiveFileLookup", "true").parquet(paths.bad)
     assert letters.count() == 7
+    assert os.listdir(paths.bad) == [f"query={first[1].id}"]
     assert {bytes(r["payload"]) for r in letters.collect()} == {bytes([0, 1, 2, 3])}
     summary = spark.read.option("recursiveFileLookup", "true").parquet(paths.bad_summary).collect()
     assert [(r["bad_count"], r["sample_reason"]) for r in summary] == [(7, "negative length")]
