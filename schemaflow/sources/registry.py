@@ -21,17 +21,19 @@ def read_registry(spark: SparkSession, root: str) -> DataFrame:
 
     Fails if ``root`` is not a directory. A version number beyond an int is not a version.
     """
-    _require_directory(spark, root)
+    depth = _directory_depth(spark, root)
     files = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
     path = F.col("_metadata.file_path")
     located = files.select(path.alias("path"), F.col("value").alias("schema"))
-    stored = F.col("path").rlike(STORED)
+    below_root = F.size(F.split(F.regexp_replace("path", r"^\w+:(//[^/]*)?", ""), "/")) - 1 - depth
+    stored = F.col("path").rlike(STORED) & (below_root == 3)
+    hand_kept = F.col("path").rlike(HAND_KEPT) & (below_root == 2)
 
     def part(i: int) -> Column:
         return F.when(stored, F.regexp_extract("path", STORED, i)).otherwise(F.regexp_extract("path", HAND_KEPT, i))
 
     return (
-        located.filter(stored | F.col("path").rlike(HAND_KEPT))
+        located.filter(stored | hand_kept)
         .select(
             F.when(stored, _decoded(_decoded(part(1)))).otherwise(_decoded(part(1))).alias("subject"),
             part(2).try_cast("int").alias("version"),
@@ -46,12 +48,13 @@ def _decoded(name: Column) -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def _require_directory(spark: SparkSession, root: str) -> None:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _directory_depth(spark: SparkSession, root: str) -> int:
+    """Number of path parts of a directory; anything else is an error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path) or not fs.getFileStatus(path).isDirectory():
         raise ValueError(f"not a directory: {root}")
+    return fs.makeQualified(path).depth()
 
 
 def store_registry(registry: DataFrame, root: str) -> None:

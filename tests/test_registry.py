@@ -25,6 +25,8 @@ def test_scan_of_hand_kept_files(spark, tmp_path):
     for n, text in ((1, ORDER_V1), (2, ORDER_V2), (10, ORDER_V3)):
         put(tmp_path, "orders", f"v{n}.avsc", json.dumps(json.loads(text), indent=2))
     put(tmp_path, "orders", "notes.txt", "no schema")
+    put(tmp_path / "orders", "deeper", "v1.avsc", "{")
+    put(tmp_path, ".", "v1.avsc", "{")
     put(tmp_path, "orders", "vx.avsc", "{")
     put(tmp_path, "orders", "v99999999999.avsc", "{")
     put(tmp_path, "empty one", "draft.avsc", "{")
