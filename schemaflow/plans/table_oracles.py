@@ -309,8 +309,8 @@ WITH {M1}, mark AS (
   SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 1 HOUR AS watermark FROM m1 WHERE event_id % 7 <> 0),
 kept AS (
   SELECT m1.* FROM m1, mark
-  WHERE event_id % 7 <> 0 OR date_trunc('hour', event_time) + INTERVAL 1 HOUR > watermark)
-SELECT strftime(date_trunc('hour', event_time), '%Y-%m-%d-%H') AS date_hour, customer_segment,
+  WHERE event_id % 7 <> 0 OR date_trunc('day', event_time) + INTERVAL 1 DAY > watermark)
+SELECT strftime(date_trunc('day', event_time), '%Y-%m-%d-%H') AS date_hour, customer_segment,
        count(*) AS order_count, CAST(sum(total_cents - discount_cents) AS BIGINT) AS net_cents_sum
 FROM kept GROUP BY ALL""",
     "stream_job": f"WITH {M1} {STREAMED}",

@@ -416,21 +416,20 @@ def stream_window_agg_sketch(spark, sf):
 
 
 def late_drop(spark, sf):
-    """Every seventh order arrives after all others were processed; those whose hour has closed are dropped.
+    """Every seventh order arrives after all others were processed; those whose day has closed are dropped.
 
     Three runs on one checkpoint: the punctual orders, the late ones, the sentinel.
     """
     envelopes = event_envelopes(spark, sf)
     late = F.col("offset") % 7 == 0
     root, stream = _stored_stream(spark, envelopes.filter(~late), "late")
-    hourly = stream_agg.aggregate_stream(val.validate(stream, schemas.ORDER_V2).valid, "1 hour", "1 hour")
-    by_segment = F.col("customer_segment").alias("customer_segment")
-    _drained(spark, hourly, root)
+    by_day = stream_agg.aggregate_stream(val.validate(stream, schemas.ORDER_V2).valid, "1 day", "1 hour")
+    _drained(spark, by_day, root)
     envelopes.filter(late).write.mode("append").parquet(f"{root}/in")
-    _drained(spark, hourly, root)
+    _drained(spark, by_day, root)
     sentinel(spark).write.mode("append").parquet(f"{root}/in")
-    landed = _drained(spark, hourly, root)
-    return landed.groupBy("date_hour", by_segment).agg(
+    landed = _drained(spark, by_day, root)
+    return landed.groupBy("date_hour", "customer_segment").agg(
         F.sum("order_count").alias("order_count"), F.sum("net_cents_sum").alias("net_cents_sum")
     )
 
