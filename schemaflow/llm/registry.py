@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from schemaflow.llm import sharding
+from schemaflow.llm import packing, sharding
 
 QUERIES = {
+    "op6_packing": packing.op6_packing,
     "op10_sharding": sharding.op10_sharding,
 }
 
