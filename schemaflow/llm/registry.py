@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from schemaflow.llm import packing, sharding
+from schemaflow.llm import bpe, packing, sharding
 
 QUERIES = {
+    "op5_bpe": bpe.op5_bpe,
     "op6_packing": packing.op6_packing,
     "op10_sharding": sharding.op10_sharding,
 }
