@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from schemaflow.llm import bpe, packing, sharding
+from schemaflow.llm import bpe, packing, secrets, sharding
 
 QUERIES = {
     "op5_bpe": bpe.op5_bpe,
     "op6_packing": packing.op6_packing,
+    "op8_secrets": secrets.op8_secrets,
     "op10_sharding": sharding.op10_sharding,
 }
 
