@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from schemaflow.llm import bpe, packing, secrets, sharding
+from schemaflow.llm import bpe, packing, quality_rules, secrets, sharding
 
 QUERIES = {
     "op5_bpe": bpe.op5_bpe,
     "op6_packing": packing.op6_packing,
     "op8_secrets": secrets.op8_secrets,
+    "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
 }
 
