@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from schemaflow.llm import bpe, packing, quality_rules, secrets, sharding
+from schemaflow.llm import bpe, packing, quality_rules, secrets, sharding, topk
 
 QUERIES = {
+    "op3_topk": topk.op3_topk,
     "op5_bpe": bpe.op5_bpe,
     "op6_packing": packing.op6_packing,
     "op8_secrets": secrets.op8_secrets,
@@ -12,4 +13,6 @@ QUERIES = {
     "op10_sharding": sharding.op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_topk": topk.ORACLE,
+}
