@@ -3,7 +3,8 @@
 A pre-token's bytes form a linked list. Every adjacent pair that the vocabulary knows waits in the bucket of its rank, as the
 position of its left part. Two levels of bitmaps tell which buckets hold anything: one bit per rank in words of 256, one
 bit per word above them. Find-first-set on both gives the next rank, the smallest position of its bucket the next merge.
-An entry is stale, and skipped, when the pair at its position no longer has the bucket's rank. A pre-token of n bytes takes
+An entry is stale, and skipped, when the pair at its position no longer has the bucket's rank; the
+loop ends with the last pair that is not. A pre-token of n bytes takes
 O(n log n), so one of many megabytes is no special case.
 """
 
@@ -20,13 +21,14 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaflow.llm.common import table, utf8
+from schemaflow.llm.common import structs, table, utf8
 from schemaflow.llm.tokens import read_ranks
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-# The memo of short pre-tokens starts anew when it holds so many; it never changes a result.
-MEMO_ENTRIES = 400_000
+# The memo of short pre-tokens keeps those of the last one or two generations of so many; it never changes a result.
+MEMO_ENTRIES = 300_000
 MEMO_CHARS = 48
+BITS = [1 << i for i in range(4096)]
 
 
 class Codec(dict):
@@ -35,16 +37,21 @@ class Codec(dict):
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
         super().__init__()
         self.ranks = ranks
+        self.older: dict[str, bytes] = {}
+        self.words = (max(ranks.values(), default=0) >> 8) + 1
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.split = regex.compile(pattern).findall
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.merge(piece.encode())
-        packed = pack(f"<{len(ids)}I", *ids) if len(ids) < 64 else np.array(ids, dtype="<u4").tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.merge(piece.encode())
+            packed = pack(f"<{len(ids)}I", *ids) if len(ids) < 64 else np.array(ids, dtype="<u4").tobytes()
         if len(piece) <= MEMO_CHARS:
             if len(self) >= MEMO_ENTRIES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
@@ -58,29 +65,31 @@ class Codec(dict):
         n = len(piece)
         end = list(range(1, n + 1))  # of the part that starts at a position: the start of the next part
         before = list(range(-1, n - 1))
-        waiting = [-1] * n  # the rank of the pair whose left part starts there
+        # The rank of the pair whose left part starts at a position, -1 for none.
+        waiting = [rank_of(piece[i : i + 2], -1) for i in range(n)]
+        waiting[-1] = -1
         buckets: dict[int, list[int]] = {}
-        words: dict[int, int] = {}
-        top = 0
-        for i in range(n - 1):
-            rank = rank_of(piece[i : i + 2])
-            if rank is not None:
-                waiting[i] = rank
+        words = [0] * self.words
+        top = live = 0
+        for i, rank in enumerate(waiting):
+            if rank >= 0:
+                live += 1
                 if rank in buckets:
                     buckets[rank].append(i)
                 else:
                     buckets[rank] = [i]
-                    high = rank >> 8
-                    words[high] = words.get(high, 0) | 1 << (rank & 255)
-                    top |= 1 << high
-        while top:
+                    words[rank >> 8] |= BITS[rank & 255]
+                    top |= BITS[rank >> 8]
+        while live:
             high = (top & -top).bit_length() - 1
             word = words[high]
             lowest = word & -word
             rank = high << 8 | lowest.bit_length() - 1
             bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
                 del buckets[rank]
                 words[high] = word = word ^ lowest
                 if not word:
@@ -89,31 +98,34 @@ class Codec(dict):
                 continue
             middle = end[i]
             end[i] = stop = end[middle]
+            live -= 1 if waiting[middle] < 0 else 2
             waiting[middle] = -1
             if stop < n:
                 before[stop] = i
                 waiting[i] = new = rank_of(piece[i : end[stop]], -1)
                 if new >= 0:
+                    live += 1
                     if new in buckets:
                         heappush(buckets[new], i)
                     else:
                         buckets[new] = [i]
-                        high = new >> 8
-                        words[high] = words.get(high, 0) | 1 << (new & 255)
-                        top |= 1 << high
+                        words[new >> 8] |= BITS[new & 255]
+                        top |= BITS[new >> 8]
             else:
                 waiting[i] = -1
             left = before[i]
             if left >= 0:
+                if waiting[left] >= 0:
+                    live -= 1
                 waiting[left] = new = rank_of(piece[left:stop], -1)
                 if new >= 0:
+                    live += 1
                     if new in buckets:
                         heappush(buckets[new], left)
                     else:
                         buckets[new] = [left]
-                        high = new >> 8
-                        words[high] = words.get(high, 0) | 1 << (new & 255)
-                        top |= 1 << high
+                        words[new >> 8] |= BITS[new & 255]
+                        top |= BITS[new >> 8]
         ids, i = [], 0
         while i < n:
             stop = end[i]
@@ -156,18 +168,26 @@ def decoded(packed: Column, ranks: str = RANKS) -> Column:
     return decode.asNondeterministic()(packed)
 
 
+def round_trip(text: Column, ranks: str = RANKS) -> Column:
+    """struct<ids, decoded>: packed ids of a binary column of UTF-8 text and the bytes that those ids stand for."""
+
+    @F.arrow_udf("struct<ids: binary, decoded: binary>")
+    def both(texts: pa.Array) -> pa.Array:
+        own = codec(ranks)
+        ids = [own.encode(t.as_py().decode()) for t in texts]
+        return structs({"ids": ids, "decoded": map(own.decode, ids)}, {"ids": pa.binary(), "decoded": pa.binary()})
+
+    return both.asNondeterministic()(text)
+
+
 def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks: str = RANKS) -> DataFrame:
-    """doc_id, n_tokens, ids (packed) and decoded (bytes) of every row.
+    """doc_id, n_tokens, ids (packed) and decoded (bytes, from the ids) of every row.
 
     Null text counts as empty and has no ids. Ids may be null or repeat; other columns are not read. No rows give no rows.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), encoded(utf8(text), ranks).alias("ids"))
-    return rows.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        "ids",
-        decoded(F.col("ids"), ranks).alias("decoded"),
-    )
+    rows = docs.select(F.col(doc_id).alias("doc_id"), round_trip(utf8(text), ranks).alias("r"))
+    n_tokens = (F.octet_length("r.ids") / 4).cast("long")
+    return rows.select("doc_id", n_tokens.alias("n_tokens"), F.col("r.ids").alias("ids"), "r.decoded")
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,5 +35,5 @@ def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
 
 def structs(columns: dict[str, Iterable], types: dict[str, pa.DataType]) -> pa.StructArray:
     """Python lists as one struct array with the given field types."""
-    arrays = [pa.array(columns[name], kind) for name, kind in types.items()]
+    arrays = [pa.array(list(columns[name]), kind) for name, kind in types.items()]
     return pa.StructArray.from_arrays(arrays, fields=[pa.field(n, k) for n, k in types.items()])
