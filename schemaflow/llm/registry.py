@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from schemaflow.llm import bpe, packing, quality_rules, secrets, sharding, topk
+from schemaflow.llm import bpe, minhash, packing, quality_rules, secrets, sharding, topk
 
 QUERIES = {
+    "op2_minhash": minhash.op2_minhash,
     "op3_topk": topk.op3_topk,
     "op5_bpe": bpe.op5_bpe,
     "op6_packing": packing.op6_packing,
@@ -14,5 +15,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_minhash": minhash.ORACLE,
     "op3_topk": topk.ORACLE,
 }
