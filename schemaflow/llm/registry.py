@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from schemaflow.llm import bpe, minhash, packing, quality_rules, secrets, sharding, topk
+from schemaflow.llm import bpe, hmm, minhash, packing, quality_rules, secrets, sharding, topk
 
 QUERIES = {
     "op2_minhash": minhash.op2_minhash,
     "op3_topk": topk.op3_topk,
     "op5_bpe": bpe.op5_bpe,
     "op6_packing": packing.op6_packing,
+    "op7_hmm": hmm.op7_hmm,
     "op8_secrets": secrets.op8_secrets,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
