@@ -36,6 +36,7 @@ SCATTER = np.uint64(0xD6E8FEB86659FD93)
 ROW_FACTORS = mixed(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 BAND_TERMS = mixed(np.arange(100, 100 + BANDS, dtype=np.uint64))
 BLOCK_SHINGLES = 1 << 16
+COUNTED_SHINGLES = 1 << 21
 # Buckets of more classes than this get the bound from shingles of their own; the result does not depend on it.
 LARGE_BUCKET = 64
 
@@ -95,21 +96,38 @@ def profile(text: Column) -> Column:
 
 
 def own_shingles(texts: DataFrame) -> DataFrame:
-    """row and own: how many shingles of each text (row, text) no other of these texts has."""
+    """row and own: how many shingles of each text (row, text) no other of these texts has.
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Each task counts the holders of its shingles before they are dealt out, so what near copies share travels once a task.
+    """
+
+    def holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
+        rows, sets, size = [], [], 0
+
+        def counted() -> pa.RecordBatch:
+            owner = np.repeat(np.array(rows, dtype=np.int64), list(map(len, sets)))
+            flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            found, first, n = np.unique(flat, return_index=True, return_counts=True)
+            columns = [pa.array(owner[first]), pa.array(found.view(np.int64)), pa.array(n)]
+            rows.clear(), sets.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["row", "shingle", "n"])
+
         for batch in batches:
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = shingler.hashes(text.as_py()).view(np.int64)
-                rows = pa.array(np.full(len(found), row, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([rows, pa.array(found)], names=["row", "shingle"])
+                rows.append(row)
+                sets.append(shingler.hashes(text.as_py()))
+                size += len(sets[-1])
+                if size >= COUNTED_SHINGLES:
+                    yield counted()
+                    size = 0
+        yield counted()
 
     alone = (
-        texts.mapInArrow(explode, "row long, shingle long")
+        texts.mapInArrow(holders, "row long, shingle long, n long")
         .groupBy("shingle")
-        .agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("holders"))
-        .filter("holders = 1")
+        .agg(F.min("row").alias("row"), F.sum("n").alias("n"))
+        .filter("n = 1")
     )
     return alone.groupBy("row").agg(F.count(F.lit(1)).alias("own"))
 
