@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from schemaflow.llm import bpe, hmm, minhash, packing, quality_rules, secrets, sharding, topk
+from schemaflow.llm import bpe, hmm, minhash, packing, quality_rules, secrets, sharding, topk, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_minhash": minhash.op2_minhash,
     "op3_topk": topk.op3_topk,
     "op5_bpe": bpe.op5_bpe,
