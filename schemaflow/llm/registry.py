@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from schemaflow.llm import bpe, hmm, minhash, packing, quality_rules, secrets, sharding, topk, toxicity
+from schemaflow.llm import bpe, hmm, minhash, packing, quality_bayes, quality_rules, secrets, sharding, topk, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_minhash": minhash.op2_minhash,
     "op3_topk": topk.op3_topk,
+    "op4_quality_bayes": quality_bayes.op4_quality_bayes,
     "op5_bpe": bpe.op5_bpe,
     "op6_packing": packing.op6_packing,
     "op7_hmm": hmm.op7_hmm,
@@ -19,4 +20,5 @@ QUERIES = {
 ORACLES = {
     "op2_minhash": minhash.ORACLE,
     "op3_topk": topk.ORACLE,
+    "op4_quality_bayes": quality_bayes.ORACLE,
 }
