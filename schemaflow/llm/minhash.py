@@ -228,25 +228,23 @@ def remaining(mates: DataFrame, centers: DataFrame, labels: DataFrame, percent:
     return pairs.select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
 
 
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """row, doc_id, n_shingles, component_id and first (one row of each component) of every row.
-
-    A null or empty text, or one without words, has no shingles and is linked with nothing: its component is itself. Equal
-    sets are linked. Null ids come last in a component's order and repeated ids are rows like any other; of equal ids the
-    row read first is ``first``. Other columns are not read. No rows give no rows.
-    """
-    found = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text")).withColumn("p", profile(F.col("text")))
-    rows = stored(
-        found.select(
-            F.monotonically_increasing_id().alias("row"),
-            "doc_id",
-            F.col("p.n").alias("n"),
-            F.col("p.high").alias("high"),
-            F.col("p.low").alias("low"),
-            F.col("p.bands").alias("bands"),
-            "text",
-        ),
-        "near-rows",
+def profiled(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` stored with all their columns, a number, and the profile of their text."""
+    found = docs.withColumn("__p", profile(utf8(text))).withColumn("__row", F.monotonically_increasing_id())
+    names = ("n", "high", "low", "bands")
+    return stored(found.select(*docs.columns, "__row", *(F.col(f"__p.{n}").alias(f"__{n}") for n in names)), "near-rows")
+
+
+def grouped(rows: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """row, doc_id, n_shingles, component_id and first of every profiled row."""
+    rows = rows.select(
+        F.col("__row").alias("row"),
+        F.col(doc_id).alias("doc_id"),
+        F.col("__n").alias("n"),
+        F.col("__high").alias("high"),
+        F.col("__low").alias("low"),
+        F.col("__bands").alias("bands"),
+        utf8(text).alias("text"),
     )
     filled = rows.filter("n > 0")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
@@ -258,7 +256,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("least").alias("least"))
     members = named.drop("least").join(least, "label").select("high", "low", "least")
-    grouped = filled.join(members, ["high", "low"]).select(
+    together = filled.join(members, ["high", "low"]).select(
         "row",
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -268,7 +266,24 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     alone = rows.filter("n = 0").select(
         "row", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("first")
     )
-    return grouped.unionByName(alone)
+    return together.unionByName(alone)
+
+
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
+    """row, doc_id, n_shingles, component_id and first (one row of each component) of every row.
+
+    A null or empty text, or one without words, has no shingles and is linked with nothing: its component is itself. Equal
+    sets are linked. Null ids come last in a component's order and repeated ids are rows like any other; of equal ids the
+    row read first is ``first``. Other columns are not read. No rows give no rows.
+    """
+    return grouped(profiled(docs.select(doc_id, text), text), doc_id, text, percent)
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
+    """One row of each near-duplicate group, with all its columns: the one of the smallest id."""
+    rows = profiled(docs, text)
+    first = grouped(rows, doc_id, text, percent).filter("first").select(F.col("row").alias("__row"))
+    return rows.join(first, "__row", "left_semi").select(*docs.columns)
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

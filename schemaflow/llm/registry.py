@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from schemaflow.llm import bpe, hmm, minhash, packing, quality_bayes, quality_rules, secrets, sharding, topk, toxicity
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
