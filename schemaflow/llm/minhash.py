@@ -7,10 +7,11 @@ coordinates form a band, 28 bands a signature: two sets of similarity 0.85 share
 Texts of equal sets are one class, and only classes are compared. Classes of equal band keys form buckets. Every link is
 confirmed on full sets, in two steps that never emit all pairs of a bucket:
 
-1. each class against the centre of each of its buckets (the class with the fewest shingles of its own);
+1. each class against the centre of each of its buckets (the class with the fewest rare shingles);
 2. in buckets whose classes are not yet one component, the classes outside the largest component of the bucket against those
-   of other components, as far as bounds allow a link: from the sizes, and in large buckets from the shingles that no other
-   class of the large buckets has, since those can never be shared.
+   of other components, as far as bounds allow a link: from the sizes, and in large buckets from the shingles that very few
+   classes of the large buckets hold. The holders of such a rare shingle are compared among themselves, at most four of them;
+   all other pairs cannot share any rare shingle.
 
 A pair left out lies in one component already or cannot reach the limit, so components are those of all links between
 bucket mates.
@@ -37,6 +38,8 @@ ROW_FACTORS = mixed(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 BAND_TERMS = mixed(np.arange(100, 100 + BANDS, dtype=np.uint64))
 BLOCK_SHINGLES = 1 << 16
 COUNTED_SHINGLES = 1 << 21
+# A shingle of so few classes gives its pairs of holders itself.
+RARE = 4
 # Buckets of more classes than this get the bound from shingles of their own; the result does not depend on it.
 LARGE_BUCKET = 64
 
@@ -95,10 +98,10 @@ def profile(text: Column) -> Column:
     return run.asNondeterministic()(text)
 
 
-def own_shingles(texts: DataFrame) -> DataFrame:
-    """row and own: how many shingles of each text (row, text) no other of these texts has.
+def rare_shingles(texts: DataFrame) -> DataFrame:
+    """row, shingle and n of every shingle that at most ``RARE`` of these texts (row, text) hold: one row for each holder.
 
-    Each task counts the holders of its shingles before they are dealt out, so what near copies share travels once a task.
+    Each task counts the holders of its shingles before they are dealt out: one with more holders than that travels once.
     """
 
     def holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,9 +111,16 @@ def own_shingles(texts: DataFrame) -> DataFrame:
         def counted() -> pa.RecordBatch:
             owner = np.repeat(np.array(rows, dtype=np.int64), list(map(len, sets)))
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            found, first, n = np.unique(flat, return_index=True, return_counts=True)
-            columns = [pa.array(owner[first]), pa.array(found.view(np.int64)), pa.array(n)]
-            rows.clear(), sets.clear()
+            found, first, place, n = np.unique(flat, return_index=True, return_inverse=True, return_counts=True)
+            few = n[place] <= RARE
+            many = n > RARE
+            columns = [
+                pa.array(np.concatenate([owner[few], owner[first[many]]])),
+                pa.array(np.concatenate([flat[few], found[many]]).view(np.int64)),
+                pa.array(np.concatenate([np.ones(few.sum(), np.int64), n[many]])),
+            ]
+            rows.clear()
+            sets.clear()
             return pa.RecordBatch.from_arrays(columns, names=["row", "shingle", "n"])
 
         for batch in batches:
@@ -123,13 +133,9 @@ def own_shingles(texts: DataFrame) -> DataFrame:
                     size = 0
         yield counted()
 
-    alone = (
-        texts.mapInArrow(holders, "row long, shingle long, n long")
-        .groupBy("shingle")
-        .agg(F.min("row").alias("row"), F.sum("n").alias("n"))
-        .filter("n = 1")
-    )
-    return alone.groupBy("row").agg(F.count(F.lit(1)).alias("own"))
+    held = stored(texts.mapInArrow(holders, "row long, shingle long, n long"), "near-holders")
+    few = held.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") <= RARE)
+    return stored(held.select("row", "shingle").join(few, "shingle"), "near-rare")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -168,17 +174,19 @@ def possible(small: Column, large: Column, left: Column, right: Column, percent:
 
 def class_labels(rows: DataFrame, percent: int) -> DataFrame:
     """node and label of every class that is linked with another; ``rows``: row, n, bands and text, one per class."""
-    keyed = rows.filter("n > 0").select("row", "n", F.explode("bands").alias("key"))
+    keyed = rows.filter("n > 0").select("row", "n", F.posexplode("bands").alias("band", "key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     mates = stored(keyed.join(sizes, "key"), "near-buckets")
     texts = stored(
         rows.select("row", "text").join(mates.select("row").distinct(), "row", "left_semi"), "near-texts"
     )
     large = mates.filter(F.col("m") > LARGE_BUCKET).select("row").distinct()
-    own = stored(own_shingles(texts.join(large, "row", "left_semi")), "near-own")
+    rare = rare_shingles(texts.join(large, "row", "left_semi"))
+    own = rare.groupBy("row").agg(F.count(F.lit(1)).alias("own"))
     mates = stored(
         mates.join(own, "row", "left").select(
             "key",
+            "band",
             "row",
             "n",
             F.when(F.col("m") > LARGE_BUCKET, F.coalesce("own", F.lit(0))).otherwise(0).alias("own"),
@@ -186,22 +194,33 @@ def class_labels(rows: DataFrame, percent: int) -> DataFrame:
         "near-mates",
     )
     best = F.struct("own", F.xxhash64("row", "key").alias("draw"), "row", "n")
-    centers = stored(
-        mates.groupBy("key").agg(F.min(best).alias("c")).select("key", "c.row", "c.n", "c.own"), "near-centers"
-    )
-    c = centers.select("key", F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"))
+    centers = stored(mates.groupBy("key").agg(F.min(best).alias("c")).select("key", "c.row", "c.n"), "near-centers")
+    c = centers.select("key", F.col("row").alias("a"), F.col("n").alias("n_a"))
     stars = mates.join(c, "key").filter(
-        (F.col("row") != F.col("a"))
-        & possible(F.col("n_a"), F.col("n"), F.col("n_a") - F.col("own_a"), F.col("n") - F.col("own"), percent)
+        (F.col("row") != F.col("a")) & possible(F.col("n_a"), F.col("n"), F.col("n_a"), F.col("n"), percent)
     )
     links = confirmed(stars.select("a", F.col("row").alias("b")).distinct(), texts, percent)
     labels = components(links)
-    more = confirmed(remaining(mates, centers, labels, percent), texts, percent)
+    pairs = remaining(mates, rows.select("row", "bands"), centers, labels, percent)
+    more = confirmed(pairs.unionByName(rare_pairs(rare, labels)).distinct(), texts, percent)
     return components(links.unionByName(more))
 
 
-def remaining(mates: DataFrame, centers: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Bucket mates of different components that no bound excludes and that were not compared as centre and mate."""
+def rare_pairs(rare: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of holders of a rare shingle that are not in one component yet; a shingle has at most RARE holders."""
+    shared = rare.filter("n > 1").select("shingle", "row")
+    known = shared.join(labels.select(F.col("node").alias("row"), "label"), "row", "left")
+    known = known.withColumn("label", F.coalesce("label", "row"))
+    left = known.select("shingle", F.col("row").alias("a"), F.col("label").alias("label_a"))
+    pairs = left.join(known, "shingle").filter((F.col("a") < F.col("row")) & (F.col("label_a") != F.col("label")))
+    return pairs.select("a", F.col("row").alias("b")).distinct()
+
+
+def remaining(mates: DataFrame, keys: DataFrame, centers: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Bucket mates of different components that no bound excludes and that were not compared as centre and mate.
+
+    ``keys``: row and all its band keys. A pair comes from the first bucket that both are in, so once.
+    """
     known = mates.join(labels.select(F.col("node").alias("row"), "label"), "row", "left")
     known = known.withColumn("label", F.coalesce("label", "row"))
     parts = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
@@ -214,16 +233,24 @@ def remaining(mates: DataFrame, centers: DataFrame, labels: DataFrame, percent:
     rest = known.join(main, "key").join(
         centers.select("key", F.col("row").alias("center")), "key"
     ).filter(F.col("row") != F.col("center"))
-    held = stored(rest.select("key", "row", "n", (F.col("n") - F.col("own")).alias("open"), "label", "main"), "near-rest")
-    left = held.filter("label <> main").select(
-        "key", F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("open").alias("open_a"), F.col("label").alias("l_a")
+    held = stored(
+        rest.join(keys, "row").select(
+            "key", "band", "row", "n", (F.col("n") - F.col("own")).alias("open"), "label", "main", "bands"
+        ),
+        "near-rest",
     )
     # Alone against the best imaginable mate: a subset of it that holds all it can share.
-    left = left.filter(100 * F.col("open_a") >= percent * F.col("n_a"))
-    pairs = left.join(held.filter(100 * F.col("open") >= percent * F.col("n")), "key").filter(
-        (F.col("label") != F.col("l_a"))
+    held = held.filter(100 * F.col("open") >= percent * F.col("n"))
+    names = {"row": "a", "n": "n_a", "open": "open_a", "label": "label_a", "bands": "bands_a"}
+    left = held.filter("label <> main").select("key", *(F.col(k).alias(v) for k, v in names.items()))
+    earlier = F.zip_with(
+        F.slice("bands_a", 1, F.col("band")), F.slice("bands", F.lit(1), F.col("band")), lambda x, y: x == y
+    )
+    pairs = left.join(held, "key").filter(
+        (F.col("label") != F.col("label_a"))
         & ((F.col("label") == F.col("main")) | (F.col("a") < F.col("row")))
         & possible(F.col("n_a"), F.col("n"), F.col("open_a"), F.col("open"), percent)
+        & ~F.exists(earlier, lambda same: same)
     )
     return pairs.select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
 
