@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from schemaflow.llm.common import held_out, stored, table, utf8
 
 HEAD_WORDS = 64_000
+# Words seen once stay rare, so that the classes of rare words have the weight that unknown words need.
+HEAD_COUNT = 2
 TAIL_CLASSES = 1024
 ENDING_BYTES = 3
 STATES = 8
@@ -100,7 +102,7 @@ class Alphabet:
 
 
 def make_alphabet(counts: DataFrame, ends: int, head_words: int, tail_classes: int) -> Alphabet:
-    top = counts.orderBy(F.desc("c"), "word").limit(head_words).toArrow()
+    top = counts.filter(F.col("c") >= HEAD_COUNT).orderBy(F.desc("c"), "word").limit(head_words).toArrow()
     head = {w: i for i, w in enumerate(top.column("word").to_pylist())}
     head_counts = np.array(top.column("c").to_pylist(), dtype=np.int64)
     tail_counts, tail_words = np.zeros(tail_classes, np.int64), np.zeros(tail_classes, np.int64)

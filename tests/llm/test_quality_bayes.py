@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import os
+from collections import defaultdict
+
+import pytest
+from edge_texts import EDGE
+from oracle import compare, connect
+from pyspark.sql import functions as F
+
+from schemaflow.llm import quality_bayes as bayes
+from schemaflow.llm.common import table
+from schemaflow.llm.registry import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="tables not present")
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_against_their_sql(spark, name):
+    assert compare(spark, connect(SF), QUERIES[name], ORACLES[name], SF) > 0
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = {r.doc_id: r.quality for r in table(spark, sf, "labels").collect()}
+    rows = [r for r in bayes.op4_quality_bayes(spark, sf).collect() if r.held_out and r.doc_id in truth]
+    good = [r.kept for r in rows if truth[r.doc_id] == 1]
+    bad = [r.kept for r in rows if truth[r.doc_id] == 0]
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.4 * len(bad)
+
+
+def sites(spark, hosts):
+    """Groups (n, total, expected) of one level."""
+    rows = [(n, total, 0.5) for n, total in hosts]
+    return spark.createDataFrame(rows, "n long, total double, expected double")
+
+
+def test_strength_follows_the_spread(spark):
+    alike = bayes.strength(sites(spark, [(100, 50.0), (100, 51.0), (100, 49.0)]), 0.5)
+    apart = bayes.strength(sites(spark, [(100, 95.0), (100, 50.0), (100, 5.0)]), 0.5)
+    assert apart < 5 < alike == bayes.STRONGEST
+    assert bayes.strength(sites(spark, [(10, 5.0)]), 0.5) == bayes.STRONGEST
+
+
+def test_sparse_sites_shrink_toward_their_host(spark):
+    prose = "plain words of ordinary prose follow each other here without any trouble at all"
+    junk = "### $$$ ### %%% ### &&&"
+    rows, labels = [], []
+    for i in range(400):
+        host = "good" if i % 2 else "bad"
+        text = prose + f" number {i}" if (i % 2 or i % 8 == 0) else junk + f" {i}"
+        rows.append((i, text, "en", host))
+        labels.append((i, int(text.startswith("plain"))))
+    rows += [(1000, "something else", "xx", "good"), (1001, "something else", "xx", "bad")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    found = {r.doc_id: r["__q"] for r in bayes.judge(docs, bayes.fit(docs, known, F.lit(False))).collect()}
+    assert found[1000].evidence == found[1001].evidence
+    assert found[1000].path_rate > found[1001].path_rate and found[1000].score > found[1001].score
+    by_host = defaultdict(set)
+    for i, _, _, host in rows:
+        by_host[host].add(found[i].host_rate)
+    assert all(len(v) == 1 for v in by_host.values())
+
+
+def test_edges(spark, documents):
+    labels = spark.createDataFrame([(4, 1), (5, 0), (8, None), (None, 1)], "doc_id long, quality int")
+    none = labels.limit(0)
+    for known in (labels, none):
+        fitted = bayes.fit(documents(EDGE, lang=None, source=None), known, F.lit(False))
+        rows = bayes.judge(documents(EDGE, lang=None, source=None), fitted).collect()
+        assert len(rows) == len(EDGE)
+        assert all(not r["__q"].kept and r["__q"].score == 0 for r in rows if r.doc_id in (1, 2, 3))
+    assert all(r["__q"].kept for r in rows if r.doc_id not in (1, 2, 3))
+    empty = documents([])
+    assert bayes.keep_good(empty, none, F.lit(False)).collect() == []
+    assert bayes.keep_good(empty, none, F.lit(False)).columns == empty.columns
