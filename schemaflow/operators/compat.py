@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from schemaflow.functions.schema_docs import let, schema_doc
+from schemaflow.functions.schema_docs import let, schema_doc, valid_doc
 
 LEVELS = ("backward", "forward", "full", "none")
 
@@ -39,6 +39,7 @@ MESSAGES = {
     ),
 }
 ROOT_FIELD = "<root>"
+INVALID = "InvalidSchema"
 
 # A 32-bit version splits into at most 2^15 blocks of at most 2^16 versions.
 _BLOCK_BITS = 16
@@ -184,6 +185,20 @@ def violations(old: Column, new: Column, level: str) -> Column:
     return let(F.struct(old.alias("old"), new.alias("new")), found)
 
 
+def invalid(problem: Column) -> Column:
+    """The one violation of a candidate that is no valid schema."""
+    none = F.lit(None).cast("string")
+    return F.array(
+        F.struct(
+            F.lit(INVALID).alias("kind"),
+            F.lit(ROOT_FIELD).alias("field_name"),
+            none.alias("old_value"),
+            none.alias("new_value"),
+            problem.alias("message"),
+        )
+    )
+
+
 def report(found: Column) -> Column:
     """``compatible``, or one line for each violation."""
     lines = F.transform(
@@ -196,7 +211,10 @@ def report(found: Column) -> Column:
 
 
 def with_docs(registry: DataFrame) -> DataFrame:
-    return registry.select("subject", "version", schema_doc(F.col("schema")).alias("doc"))
+    """Each version read once; a text that is no valid schema raises."""
+    read = registry.select("subject", "version", schema_doc(F.col("schema")).alias("doc"))
+    place = F.concat_ws(" version ", F.col("subject"), F.col("version").cast("string"))
+    return read.withColumn("doc", valid_doc(F.col("doc"), place))
 
 
 def schema_fields(registry: DataFrame) -> DataFrame:
@@ -205,17 +223,19 @@ def schema_fields(registry: DataFrame) -> DataFrame:
     return fields.filter(F.col("pos").isNotNull()).select("subject", "version", "pos", "field.*")
 
 
-def consecutive_pairs(registry: DataFrame) -> DataFrame:
-    """Every version of every subject next to the version that follows it.
+def consecutive_pairs(registry: DataFrame, value: str = "schema") -> DataFrame:
+    """Every version of every subject next to the version that follows it, with ``value`` of both.
+
+    A row without subject or version is in no pair.
 
     Windows run inside blocks of a subject's versions, and the first schema of each block is handed to the block before
     it, so no task holds more than 2^16 versions of a subject however many it has.
     """
     in_block = Window.partitionBy("subject", "block").orderBy("version")
     known = registry.filter(F.col("subject").isNotNull() & F.col("version").isNotNull())
-    versions = known.select("subject", "version", "schema", F.shiftright("version", _BLOCK_BITS).alias("block"))
-    next_version, next_schema = F.lead("version").over(in_block), F.lead("schema").over(in_block)
-    following = versions.withColumns({"next_version": next_version, "next_schema": next_schema})
+    versions = known.select("subject", "version", value, F.shiftright("version", _BLOCK_BITS).alias("block"))
+    next_version, next_value = F.lead("version").over(in_block), F.lead(value).over(in_block)
+    following = versions.withColumns({"next_version": next_version, "next_value": next_value})
     # The same exchange serves both frames.
     heads = versions.withColumn("before", F.lag("version").over(in_block)).filter(F.col("before").isNull())
     by_block = Window.partitionBy("subject").orderBy("block")
@@ -223,7 +243,7 @@ def consecutive_pairs(registry: DataFrame) -> DataFrame:
         "subject",
         "block",
         F.lead("version").over(by_block).alias("head_version"),
-        F.lead("schema").over(by_block).alias("head_schema"),
+        F.lead(value).over(by_block).alias("head_value"),
     ).filter(F.col("head_version").isNotNull())
     in_next_block = F.col("next_version").isNull()
     return (
@@ -232,24 +252,37 @@ def consecutive_pairs(registry: DataFrame) -> DataFrame:
             "subject",
             F.col("version").alias("old_version"),
             F.coalesce("next_version", "head_version").alias("new_version"),
-            F.col("schema").alias("old_schema"),
-            F.when(in_next_block, F.col("head_schema")).otherwise(F.col("next_schema")).alias("new_schema"),
+            F.col(value).alias(f"old_{value}"),
+            F.when(in_next_block, F.col("head_value")).otherwise(F.col("next_value")).alias(f"new_{value}"),
         )
         .filter(F.col("new_version").isNotNull())
     )
 
 
-def chosen_pairs(registry: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The schemas of explicit ``(subject, old_version, new_version)`` rows."""
-    old = registry.select("subject", F.col("version").alias("old_version"), F.col("schema").alias("old_schema"))
-    new = registry.select("subject", F.col("version").alias("new_version"), F.col("schema").alias("new_schema"))
+def chosen_pairs(registry: DataFrame, pairs: DataFrame, value: str = "schema") -> DataFrame:
+    """``value`` of both versions of explicit ``(subject, old_version, new_version)`` rows."""
+    old = registry.select("subject", F.col("version").alias("old_version"), F.col(value).alias(f"old_{value}"))
+    new = registry.select("subject", F.col("version").alias("new_version"), F.col(value).alias(f"new_{value}"))
     return pairs.join(old, ["subject", "old_version"]).join(new, ["subject", "new_version"])
 
 
 def check(pairs: DataFrame, level: str = "backward") -> DataFrame:
-    """One row per pair with its ``violations``."""
-    found = violations(schema_doc(F.col("old_schema")), schema_doc(F.col("new_schema")), level)
-    return pairs.withColumn("violations", found).drop("old_schema", "new_schema")
+    """One row per pair with its ``violations``.
+
+    Pairs hold schema texts, or the structs of :func:`with_docs`, which reads each version once however many pairs it is in.
+    A text that is no valid schema raises.
+    """
+    if "old_schema" in pairs.columns:
+        for side in ("old", "new"):
+            pairs = pairs.withColumn(f"{side}_doc", schema_doc(F.col(f"{side}_schema"))).drop(f"{side}_schema")
+            pairs = pairs.withColumn(f"{side}_doc", valid_doc(F.col(f"{side}_doc"), F.lit(f"the {side} version")))
+    found = violations(F.col("old_doc"), F.col("new_doc"), level)
+    return pairs.withColumn("violations", found).drop("old_doc", "new_doc")
+
+
+def check_consecutive(registry: DataFrame, level: str = "backward") -> DataFrame:
+    """Every version of every subject against the one before it."""
+    return check(consecutive_pairs(with_docs(registry), "doc"), level)
 
 
 def violation_rows(checked: DataFrame, level: str = "backward") -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaflow.functions.schema_docs import schema_doc
-from schemaflow.operators.compat import check, report, reports, violations
+from schemaflow.functions.schema_docs import schema_doc, valid_doc
+from schemaflow.operators.compat import check, invalid, report, reports, violations
 from schemaflow.sources.registry import read_schema_file, store_registry
 
 
@@ -41,7 +41,8 @@ def reader_and_writers(registry: DataFrame, subject: str) -> tuple[str, list[str
 def register(registry: DataFrame, candidates: DataFrame, level: str = "backward") -> DataFrame:
     """Decide on one candidate schema per subject.
 
-    A first version is accepted unchecked; a later one is checked against the latest only. Each row has ``accepted``,
+    A text that is no valid schema is refused. A first version is otherwise accepted unchecked; a later one is checked against
+    the latest only, which must be valid itself. Each row has ``accepted``,
     the ``version`` it gets (count of versions plus one, null if refused), and the ``violations`` and their report.
     Several candidates for one subject raise, as the outcome would depend on their order.
     """
@@ -52,8 +53,14 @@ def register(registry: DataFrame, candidates: DataFrame, level: str = "backward"
         "subject", F.col("schema").alias("_latest"), F.col("version").alias("_top"), "versions"
     )
     both = single.drop("_n").join(current, "subject", "left")
-    old, new = schema_doc(F.col("_latest")), schema_doc(F.col("schema"))
-    found = F.when(F.col("_latest").isNull(), violations(old, new, "none")).otherwise(violations(old, new, level))
+    both = both.withColumn("_old", schema_doc(F.col("_latest"))).withColumn("_new", schema_doc(F.col("schema")))
+    both = both.withColumn("_old", valid_doc(F.col("_old"), F.col("subject")))
+    problem = F.when(F.col("schema").isNull(), "there is no schema text").otherwise(F.col("_new.problem"))
+    found = (
+        F.when(problem.isNotNull(), invalid(problem))
+        .when(F.col("_latest").isNull(), violations(F.col("_old"), F.col("_new"), "none"))
+        .otherwise(violations(F.col("_old"), F.col("_new"), level))
+    )
     accepted = F.size("violations") == 0
     return both.withColumn("violations", found).select(
         "subject",

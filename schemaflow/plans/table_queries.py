@@ -548,7 +548,7 @@ def registry_subjects(spark, sf):
 
 
 def _checked(spark, sf, level: str) -> DataFrame:
-    return compat.check(compat.consecutive_pairs(event_registry(spark, sf)), level)
+    return compat.check_consecutive(event_registry(spark, sf), level)
 
 
 def compat_backward(spark, sf):
@@ -575,7 +575,7 @@ def pair_check(spark, sf):
     """The first version of every subject against its last."""
     known = event_registry(spark, sf)
     ends = known.groupBy("subject").agg(F.min("version").alias("old_version"), F.max("version").alias("new_version"))
-    return compat.reports(compat.check(compat.chosen_pairs(known, ends), "full"))
+    return compat.reports(compat.check(compat.chosen_pairs(compat.with_docs(known), ends, "doc"), "full"))
 
 
 def register_gate(spark, sf):

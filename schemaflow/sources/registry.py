@@ -10,6 +10,8 @@ import os.path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from schemaflow.functions.schema_docs import schema_doc, valid_doc
+
 # Two layouts: files kept by hand, <root>/<subject>/v<n>.avsc, and those stored by Spark,
 # <root>/subject=<s>/version=<n>/part-….
 HAND_KEPT = r"/([^/]+)/v(\d+)\.avsc$"
@@ -19,7 +21,8 @@ STORED = r"/subject=([^/]+)/version=(\d+)/[^/]+$"
 def read_registry(spark: SparkSession, root: str) -> DataFrame:
     """Every version of every subject below ``root``; other files are ignored.
 
-    Fails if ``root`` is not a directory. A version number beyond an int is not a version.
+    Fails if ``root`` is not a directory, and when a text that is no valid schema is read. A version number beyond an int is
+    not a version.
     """
     depth = _directory_depth(spark, root)
     files = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
@@ -32,7 +35,7 @@ def read_registry(spark: SparkSession, root: str) -> DataFrame:
     def part(i: int) -> Column:
         return F.when(stored, F.regexp_extract("path", STORED, i)).otherwise(F.regexp_extract("path", HAND_KEPT, i))
 
-    return (
+    registered = (
         located.filter(stored | hand_kept)
         .select(
             F.when(stored, _decoded(_decoded(part(1)))).otherwise(_decoded(part(1))).alias("subject"),
@@ -41,6 +44,10 @@ def read_registry(spark: SparkSession, root: str) -> DataFrame:
         )
         .filter(F.col("version").isNotNull())
     )
+    place = F.concat_ws(" version ", F.col("subject"), F.col("version").cast("string"))
+    doc = valid_doc(F.col("doc"), place)
+    read = registered.withColumn("doc", schema_doc(F.col("schema")))
+    return read.select("subject", "version", F.when(doc.isNotNull(), F.col("schema")).alias("schema"))
 
 
 def _decoded(name: Column) -> Column:

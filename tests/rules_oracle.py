@@ -72,8 +72,29 @@ def removed(old, new):
     ]
 
 
+def expanded(doc):
+    """The record with every reference to a named type replaced by its kind."""
+    known = {}
+
+    def walk(node, space):
+        if isinstance(node, list):
+            return [walk(n, space) for n in node]
+        if isinstance(node, str):
+            full = node if "." in node or not space else f"{space}.{node}"
+            return {"type": known[full]} if full in known else node
+        if isinstance(node.get("type"), str) and node["type"] in ("record", "enum", "fixed"):
+            own = node.get("namespace", space)
+            full = node["name"] if "." in node["name"] or not own else f"{own}.{node['name']}"
+            known[full] = node["type"]
+            inner = full.rpartition(".")[0]
+            return {**node, "fields": [{**f, "type": walk(f["type"], inner)} for f in node.get("fields", [])]}
+        return {**node, "type": walk(node["type"], space)}
+
+    return walk(doc, "") if isinstance(doc, dict) else doc
+
+
 def check(old_text, new_text, level):
-    old, new = json.loads(old_text), json.loads(new_text)
+    old, new = expanded(json.loads(old_text)), expanded(json.loads(new_text))
     if level == "none" or not all(isinstance(d, dict) and d["type"] == "record" for d in (old, new)):
         return []
     out = one_way(old, new) if level in ("backward", "full") else []

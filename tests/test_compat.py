@@ -7,6 +7,7 @@ import pytest
 import rules_oracle
 from conftest import plan_of
 
+from schemaflow.functions.schema_docs import read_doc
 from schemaflow.operators import compat
 from schemaflow.schemas import ORDER_V1, ORDER_V2, ORDER_V3
 
@@ -186,9 +187,73 @@ def test_messages(spark):
     assert all(r["ord"] == 1 and r["level"] == "backward" for r in rows)
 
 
-def test_malformed_schema_raises(spark):
-    with pytest.raises(Exception, match="(?i)malformed|parse"):
-        compat.check(pairs_frame(spark, {"broken": ('{"type": ', BASE)})).collect()
+@pytest.mark.parametrize("text", ['{"type": ', "hello, not a schema", rec(f("a", "strnig")), "{}"])
+def test_malformed_schema_raises(spark, text):
+    with pytest.raises(Exception, match="malformed schema of the old version"):
+        compat.check(pairs_frame(spark, {"broken": (text, BASE)})).collect()
+    rows = spark.createDataFrame([("s", 3, text)], "subject string, version int, schema string")
+    with pytest.raises(Exception, match="malformed schema of s version 3"):
+        compat.check_consecutive(rows.unionByName(rows.selectExpr("subject", "4 version", "schema"))).collect()
+
+
+ENUM, FIXED = {"type": "enum", "name": "E", "symbols": ["A"]}, {"type": "fixed", "name": "F", "size": 2}
+INVALID = {
+    "not json": "the text is not JSON",
+    '{"type":"int","x":NaN}': "the text is not JSON",
+    rec(f("a", "strnig")): "unknown type name strnig",
+    rec(f("a", "E"), f("b", ENUM)): "unknown type name E",
+    rec(f("a", ENUM), f("b", ENUM)): "type name x.E defined twice",
+    '{"type":"record","name":"R"}': "no fields",
+    '{"type":"record","fields":[]}': "no name",
+    '{"type":"record","name":"R","fields":{}}': "no list of fields",
+    rec(f("a"), f("a")): "field a twice",
+    rec(f("a b")): "without a valid name",
+    rec({"name": "a"}): "no type",
+    rec(f("a", default="text")): "default that does not fit",
+    rec(f("a", "int", default=2**40)): "default that does not fit",
+    rec(f("a", ["null", "long"], default="x")): "default that does not fit",
+    rec(f("a", {**ENUM, "symbols": []}, default="A")): "default that does not fit",
+    rec(f("a", {**ENUM, "symbols": ["A", "A"]})): "symbol twice",
+    rec(f("a", {"type": "enum", "name": "E"})): "no symbols",
+    rec(f("a", {"type": "fixed", "name": "F"})): "no size",
+    rec(f("a", {"type": "array"})): "no items",
+    rec(f("a", {"type": "map"})): "no values",
+    rec(f("a", [["int"]])): "union directly inside",
+    rec(f("a", ["int", "int"])): "type twice",
+    rec(f("a", aliases="b")): "aliases",
+    "[1]": "no type",
+    "5": "no type",
+}
+VALID = [
+    '"string"', '["null","string"]', json.dumps(ENUM), rec(), rec(f("a", ["null", "R"])), rec(f("a", FIXED), f("b", "x.F")),
+    rec(f("a", ENUM, default="A")), rec(f("a", {"type": "map", "values": ["null", "E0"]}), name="E0"),
+    rec(f("a", {"type": "record", "name": "Q", "fields": [f("y", "int", default=1)]}, default={})),
+]
+
+
+@pytest.mark.parametrize("text", INVALID)
+def test_invalid_texts_have_a_problem(text):
+    doc = read_doc(text)
+    assert INVALID[text] in doc["problem"] and not doc["fields"] and not doc["is_record"]
+
+
+@pytest.mark.parametrize("text", VALID)
+def test_valid_texts_have_none(text):
+    assert read_doc(text)["problem"] is None
+
+
+def test_equal_last_parts_are_different_types(spark):
+    text = rec(
+        f("a", {"type": "enum", "namespace": "p", "name": "T", "symbols": ["A"]}),
+        f("b", {"size": 1, "type": "fixed", "name": "q.T"}),
+        f("c", "p.T"),
+        f("d", ["null", "q.T"]),
+        f("e", {"type": {"type": {"type": "p.T"}}}),
+    )
+    tags = {d["name"]: (d["tag"], d["is_nullable"]) for d in read_doc(text)["fields"]}
+    assert tags == {
+        "a": ("ENUM", False), "b": ("FIXED", False), "c": ("ENUM", False), "d": ("FIXED", True), "e": ("ENUM", False)
+    }
 
 
 def test_references_take_the_kind_they_name(spark):
@@ -221,15 +286,30 @@ def test_consecutive_pairs_follow_version_numbers(spark):
     assert all(r["old_schema"] == f"t{r['old_version']}" and r["new_schema"] == f"t{r['new_version']}" for r in got)
 
 
-def test_plan_reads_the_registry_once_and_has_no_cross_join(spark):
+def test_plan_reads_each_schema_once_and_has_no_cross_join(spark):
     frame = spark.range(10).selectExpr("'s' subject", "cast(id as int) version", "cast(id as string) schema")
-    plan = plan_of(compat.consecutive_pairs(frame))
+    plan = plan_of(compat.check_consecutive(frame))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(compat.check_consecutive(frame))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("ArrowEvalPython") == 1 and "ReusedExchange" in plan, plan
 
 
 PRIMITIVES = ["string", "int", "long", "float", "double", "boolean", "bytes"]
 
 
+DEFAULTS = {"string": "", "bytes": "", "boolean": False, "float": 0.5, "double": 1, "int": 0, "long": 0, "map": {}}
+
+
+def fitting_default(kind):
+    if isinstance(kind, list):
+        return None
+    return DEFAULTS[kind if isinstance(kind, str) else kind["type"]]
+
+
 def random_field(rng, name):
     plain = rng.choice(PRIMITIVES)
     odd = [
@@ -239,17 +319,44 @@ def random_field(rng, name):
     ]
     made = {"name": name, "type": rng.choice([plain, plain, plain, ["null", plain], [plain, "null"], rng.choice(odd)])}
     if rng.random() < 0.5:
-        made["default"] = rng.choice([None, 0])
+        made["default"] = fitting_default(made["type"])
     if rng.random() < 0.25:
         made["aliases"] = rng.sample(["aa", "bb", "cc", "dd", "ee", "ff"], rng.randint(0, 2))
     return made
 
 
+def random_definition(rng, names):
+    """A named type with its keys in any order and braces in its doc."""
+    name = names.pop()
+    kind = rng.choice(["enum", "fixed", "record"])
+    body = {"enum": {"symbols": ["A"]}, "fixed": {"size": 2}, "record": {"fields": [{"name": "x", "type": "int"}]}}[kind]
+    made = {"type": kind, "name": name, "doc": 'one of {x} or ["type"', **body}
+    if rng.random() < 0.5:
+        made["namespace"] = rng.choice(["p", "q"])
+    return dict(rng.sample(list(made.items()), len(made)))
+
+
 def random_schema(rng):
     chosen = rng.sample(["aa", "bb", "cc", "dd", "ee", "ff"], rng.randint(0, 5))
     doc = {"type": "record", "name": rng.choice("RS"), "fields": [random_field(rng, n) for n in chosen]}
     if rng.random() < 0.5:
         doc["namespace"] = rng.choice(["x", "y.z"])
+    names, known = rng.sample(["T", "U", "V", "W"], 4), []
+    for field in doc["fields"]:
+        draw = rng.random()
+        if draw < 0.25 and names:
+            made = random_definition(rng, names)
+            space = made.get("namespace", doc.get("namespace", ""))
+            known.append(f"{space}.{made['name']}" if space else made["name"])
+            field["type"] = {"type": {"type": made}} if draw < 0.05 else made
+        elif draw < 0.6 and known:
+            full = rng.choice(known)
+            space, _, short = full.rpartition(".")
+            named = short if space == doc.get("namespace", "") else full
+            field["type"] = rng.choice([named, ["null", named]])
+        else:
+            continue
+        field.pop("default", None)
     if rng.random() < 0.3:
         doc["aliases"] = rng.sample(["R", "S", "x.R", "y.z.S"], rng.randint(0, 2))
     return json.dumps(doc)

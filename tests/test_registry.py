@@ -87,6 +87,26 @@ def test_register_and_store(spark, tmp_path):
     assert [r["accepted"] for r in offer(read_registry(spark, root), orders=ORDER_V3).collect()] == [False]
 
 
+def test_invalid_candidates_are_refused_with_a_report(spark):
+    known = spark.createDataFrame([("old", 1, ORDER_V1)], SHAPE)
+    texts = ["hello, not a schema", json.dumps({"type": "record", "name": "R"}), ORDER_V1.replace('"string"', '"strnig"'), None]
+    rows = [(f"{age}", t) for t in texts for age in ("old", "new")]
+    for subject, text in rows:
+        candidate = spark.createDataFrame([(subject, text)], "subject string, schema string")
+        row = reg.register(known, candidate, "backward").first()
+        assert (row["accepted"], row["version"]) == (False, None)
+        assert [v["kind"] for v in row["violations"]] == ["InvalidSchema"] and "InvalidSchema" in row["report"]
+
+
+def test_an_invalid_text_fails_the_scan(spark, tmp_path):
+    put(tmp_path, "orders", "v1.avsc", ORDER_V1)
+    put(tmp_path, "orders", "v2.avsc", "hello, not a schema")
+    with pytest.raises(Exception, match="malformed schema of orders version 2"):
+        read_registry(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="malformed schema"):
+        reg.check_files(spark, str(tmp_path / "orders/v1.avsc"), str(tmp_path / "orders/v2.avsc")).collect()
+
+
 def test_two_candidates_for_one_subject_raise(spark):
     rows = [("orders", ORDER_V1), ("orders", ORDER_V2)]
     candidates = spark.createDataFrame(rows, "subject string, schema string")
