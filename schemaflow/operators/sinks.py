@@ -37,13 +37,17 @@ def overwrite_partitions(df: DataFrame, path: str) -> None:
 
 
 def write_bad_rows(bad: DataFrame, path: str) -> None:
-    """Append dead letters; the payload stays binary."""
-    bad.write.mode("append").parquet(path)
+    """Append dead letters; the payload stays binary. Rows are rebalanced, so that few make few files."""
+    bad.hint("rebalance").write.mode("append").parquet(path)
 
 
 def write_bad_rows_daily(bad: DataFrame, path: str) -> None:
-    """Append dead letters below ``path/dt=<day of the record>``."""
-    bad.withColumn("dt", F.to_date("timestamp")).write.mode("append").partitionBy("dt").parquet(path)
+    """Append dead letters below ``path/dt=<day of the record>``, rebalanced on the day."""
+    by_day(bad).write.mode("append").partitionBy("dt").parquet(path)
+
+
+def by_day(bad: DataFrame) -> DataFrame:
+    return bad.withColumn("dt", F.to_date("timestamp")).hint("rebalance", F.col("dt"))
 
 
 def write_bad_rows_if_any(bad: DataFrame, path: str, bad_count: int) -> bool:

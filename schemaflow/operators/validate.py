@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark import StorageLevel
@@ -12,6 +14,7 @@ from schemaflow.functions.avro_decode import check_reader
 from schemaflow.functions.columns import millis_to_time
 from schemaflow.functions.payloads import decode_payload
 from schemaflow.schemas import BAD_ROW, ENVELOPE_COLUMNS, ORDER_ROW
+from schemaflow.session import scratch
 
 BAD_REASON = "decode failed"
 BAD_ONLY_REASON = "malformed"
@@ -88,6 +91,15 @@ def release(split: Split) -> None:
     split.tagged.unpersist()
 
 
+@contextmanager
+def settled(split: Split) -> Iterator[Split]:
+    """The same split, stored by side below the shared folder for as long as the block runs."""
+    spark = split.tagged.sparkSession
+    with scratch(spark, "decoded") as path:
+        split.tagged.write.partitionBy("valid").parquet(path)
+        yield split_tagged(spark.read.schema(split.tagged.schema).parquet(path))
+
+
 def split_counts(split: Split) -> DataFrame:
     """One row with the size of each side, from one pass over the tagged frame."""
     return split.tagged.agg(

@@ -8,7 +8,7 @@ from schemaflow.operators.aggregate import aggregate
 from schemaflow.operators.metrics import snapshot
 from schemaflow.operators.registration import reader_and_writers
 from schemaflow.operators.sinks import write_aggregates, write_bad_rows_if_any, write_table
-from schemaflow.operators.validate import Split, hold, release, validate
+from schemaflow.operators.validate import settled, validate
 
 
 def write_both(df: DataFrame, path: str, table: dict | None = None, coalesce_to: int | None = None) -> None:
@@ -39,15 +39,13 @@ def run_batch(
 ) -> dict[str, int]:
     """Run the whole job on an envelope snapshot and return its counters.
 
-    Every payload is decoded once: the counting pass fills the cache that both writes read. ``table`` takes the
+    Every payload is decoded once: the decoded rows are stored by side in the shared folder, and the counters and both writes
+    start from there, so a lost executor costs no second decode. What was stored is removed at the end. ``table`` takes the
     arguments of :func:`schemaflow.operators.sinks.write_table`.
     """
     reader, writers = reader_and_writers(registry, subject)
-    split: Split = hold(validate(source, reader, writers))
-    try:
+    with settled(validate(source, reader, writers)) as split:
         counters = snapshot(split)
         write_both(aggregate(split.valid, duration), output, table, coalesce_to)
         write_bad_rows_if_any(split.bad, bad_output, counters["records_bad"])
-    finally:
-        release(split)
     return counters

@@ -226,6 +226,19 @@ LEFT JOIN reported ON reported.subject = CAST(c_custkey AS VARCHAR)
 """
 
 
+def _refused() -> str:
+    from schemaflow.plans.table_queries import CANDIDATES
+
+    problems = [f"'{p}'" if p else "NULL" for p in CANDIDATES.values()]
+    rows = ", ".join(f"({i}, '{text}', {p})" for i, (text, p) in enumerate(zip(CANDIDATES, problems)))
+    return f"""
+WITH candidates(i, schema, problem) AS (VALUES {rows})
+SELECT 'new ' || c_custkey AS subject, schema, problem IS NULL AS accepted,
+       CASE WHEN problem IS NULL THEN 1 END AS version,
+       coalesce('- **InvalidSchema** (<root>): ' || problem, 'compatible') AS report
+FROM customer JOIN candidates ON i = c_custkey % {len(CANDIDATES)}"""
+
+
 def _draw(seed: int, size: int) -> str:
     mixed = f"((event_id % 2147483648 * 48271 + {seed * 7919 + 12345}) % 2147483647 * 69621 + {seed}) % 2147483647"
     return f"(({mixed}) >> 7) % {size}"
@@ -340,4 +353,29 @@ WITH {EVENT_VERSIONS}, {FIELDS},
 pairs AS (SELECT subject, min(version) AS old_version, max(version) AS new_version FROM v GROUP BY subject),
 {_rules('full')}, {REPORTED} FROM reported""",
     "register_gate": GATED,
+    "stream_dead_letters_daily": """
+SELECT CAST(ts AS DATE) AS dt, count(*) AS bad_count FROM events
+WHERE event_id % 10 = 0 AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-14' GROUP BY ALL""",
+    "compat_references": """
+WITH v AS (
+  SELECT CAST(user_id AS VARCHAR) AS subject, CAST(event_id + 1 AS INTEGER) AS version,
+         ['STRING', 'ENUM', 'FIXED', 'RECORD'][event_id % 4 + 1] AS tag, event_id % 3 = 0 AS is_nullable
+  FROM events),
+pairs AS (
+  SELECT subject, lag(version) OVER w AS old_version, version AS new_version, lag(tag) OVER w AS old_tag, tag AS new_tag,
+         lag(is_nullable) OVER w AS was_nullable, is_nullable
+  FROM v WINDOW w AS (PARTITION BY subject ORDER BY version)),
+found AS (
+  SELECT *, 1 AS place, 'TypeIncompatible' AS kind, old_tag AS old_value, new_tag AS new_value,
+         format('field ''c'' type changed from ''{}'' to ''{}'' which is not a safe promotion', old_tag, new_tag) AS message
+  FROM pairs WHERE old_version IS NOT NULL AND old_tag <> new_tag
+  UNION ALL
+  SELECT *, 2, 'NonNullableMadeNullable', NULL, NULL,
+         'field ''c'' was non-nullable; making it nullable requires a default'
+  FROM pairs WHERE old_version IS NOT NULL AND NOT was_nullable AND is_nullable)
+SELECT subject, old_version, new_version, 'backward' AS level,
+       CAST(row_number() OVER (PARTITION BY subject, old_version ORDER BY place) AS INTEGER) AS ord, kind,
+       'c' AS field_name, old_value, new_value, message
+FROM found""",
+    "register_invalid": _refused(),
 }

@@ -6,6 +6,7 @@ total and the ``k`` property the discount.
 
 from __future__ import annotations
 
+import datetime
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,7 @@ from schemaflow.operators import aggregate as agg
 from schemaflow.operators import compat, dedup, metrics, registration, sinks
 from schemaflow.operators import validate as val
 from schemaflow.plans.batch import run_batch, write_both
-from schemaflow.session import scratch_dir
+from schemaflow.session import scratch_dir, setting
 from schemaflow.sources import generator, registry, tables, topics
 from schemaflow.streaming import aggregate as stream_agg
 from schemaflow.streaming import sinks as stream_sinks
@@ -367,24 +368,25 @@ def sentinel(spark) -> DataFrame:
     return as_envelopes(row)
 
 
-def _state_partitions(spark) -> None:
-    """Size keyed state by the session's cores where nobody set a number of shuffle partitions."""
-    if spark.sparkContext.getConf().get("spark.sql.shuffle.partitions") is None:
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+def _state_partitions(spark):
+    """While a stream runs, keyed state is sized by the cores where nobody set a number of shuffle partitions."""
+    key = "spark.sql.shuffle.partitions"
+    chosen = spark.sparkContext.getConf().get(key) is not None
+    return setting(spark, key, spark.conf.get(key) if chosen else str(spark.sparkContext.defaultParallelism))
 
 
 def _stored_stream(spark, envelopes: DataFrame, label: str) -> tuple[str, DataFrame]:
     root = scratch_dir(spark, label)
     envelopes.write.mode("append").parquet(f"{root}/in")
-    _state_partitions(spark)
     return root, topics.stream_envelopes(spark, f"{root}/in")
 
 
 def _drained(spark, aggregated: DataFrame, root: str) -> DataFrame:
-    query = stream_sinks.write_aggregates(
-        aggregated, f"{root}/out", f"{root}/checkpoint", name=root.rsplit("/", 1)[1], available_now=True
-    )
-    query.awaitTermination()
+    with _state_partitions(spark):
+        query = stream_sinks.write_aggregates(
+            aggregated, f"{root}/out", f"{root}/checkpoint", name=root.rsplit("/", 1)[1], available_now=True
+        )
+        query.awaitTermination()
     return agg.in_segments(tables.read_aggregates(spark, f"{root}/out"), SENTINEL)
 
 
@@ -439,11 +441,10 @@ def _streamed_job(spark, sf, label: str) -> StreamPaths:
     root, stream = _stored_stream(spark, envelopes, label)
     paths = StreamPaths(f"{root}/out", f"{root}/checkpoint", f"{root}/bad", f"{root}/summary")
     name = root.rsplit("/", 1)[1]
-    queries = run_stream(
-        stream, order_registry(spark), TOPIC, paths, "1 day", name=name, available_now=True
-    )
-    for query in queries:
-        query.awaitTermination()
+    with _state_partitions(spark):
+        queries = run_stream(stream, order_registry(spark), TOPIC, paths, "1 day", name=name, available_now=True)
+        for query in queries:
+            query.awaitTermination()
     return paths
 
 
@@ -456,8 +457,8 @@ def stream_job(spark, sf):
 def stream_dead_letters(spark, sf):
     """The whole streaming job; its dead letters next to the counts of the per-batch summaries."""
     paths = _streamed_job(spark, sf, "letters")
-    letters = spark.read.option("recursiveFileLookup", "true").parquet(paths.bad)
-    summary = spark.read.option("recursiveFileLookup", "true").parquet(paths.bad_summary)
+    letters = tables.read_dead_letters(spark, paths.bad).drop("dt")
+    summary = spark.read.parquet(paths.bad_summary)
     totals = summary.agg(
         F.sum("bad_count").alias("summed_count"), F.min("sample_reason").alias("sample_reason")
     )
@@ -465,6 +466,13 @@ def stream_dead_letters(spark, sf):
     return hexed(letters.join(F.broadcast(totals), F.lit(True)))
 
 
+def stream_dead_letters_daily(spark, sf):
+    """The whole streaming job; its dead letters of ten days, read from the directories of those days only."""
+    paths = _streamed_job(spark, sf, "daily")
+    days = datetime.date(2024, 1, 5), datetime.date(2024, 1, 14)
+    return tables.read_dead_letters(spark, paths.bad, *days).groupBy("dt").agg(F.count(F.lit(1)).alias("bad_count"))
+
+
 # ---- schema registries -------------------------------------------------------------------------------------------
 
 # The types that derived schemas draw from, and a default for each.
@@ -589,6 +597,55 @@ def register_gate(spark, sf):
     return decided.select("subject", "accepted", "version", "report")
 
 
+REFERRED = ("string", "Color", "q.Size", "p.Part")
+
+
+def compat_references(spark, sf):
+    """Versions whose last field names types that earlier fields define, in odd key orders and other namespaces."""
+    kind = F.element_at(F.array(*map(F.lit, REFERRED)), (F.col("event_id") % 4 + 1).cast("int"))
+    text = F.concat(
+        F.lit('{"fields":[{"type":{"symbols":["A"],"doc":"one of {x}","name":"Color","type":"enum"},"name":"a"},'),
+        F.lit('{"name":"b","type":{"size":2,"namespace":"q","type":"fixed","name":"Size"}},'),
+        F.lit('{"name":"d","type":{"type":{"type":{"fields":[],"name":"p.Part","type":"record"}}}},'),
+        F.lit('{"name":"c","type":'),
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('["null","'), kind, F.lit('"]'))).otherwise(
+            F.concat(F.lit('"'), kind, F.lit('"'))
+        ),
+        F.lit('}],"name":"Order","type":"record"}'),
+    )
+    known = table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("subject"),
+        (F.col("event_id") + 1).cast("int").alias("version"),
+        text.alias("schema"),
+    )
+    return compat.violation_rows(compat.check_consecutive(known, "backward"), "backward")
+
+
+# Candidates for registration and what is wrong with them.
+CANDIDATES = {
+    '{"type":"record","name":"R","fields":[]}': None,
+    "hello, not a schema": "the text is not JSON",
+    '{"type":"record","name":"R","fields":[{"name":"a","type":"strnig"}]}': "unknown type name strnig",
+    '{"type":"record","name":"R","fields":[{"name":"a","type":"int"},{"name":"a","type":"int"}]}': (
+        "record R has field a twice"
+    ),
+    '{"type":"record","name":"R","fields":[{"name":"a","type":"long","default":"x"}]}': (
+        "field a has a default that does not fit its type"
+    ),
+}
+
+
+def register_invalid(spark, sf):
+    """One candidate per customer for a new subject; those that are no valid schema are refused with a report."""
+    texts = F.array(*map(F.lit, CANDIDATES))
+    candidates = table(spark, sf, "customer").select(
+        F.concat(F.lit("new "), F.col("c_custkey").cast("string")).alias("subject"),
+        F.element_at(texts, (F.col("c_custkey") % len(CANDIDATES) + 1).cast("int")).alias("schema"),
+    )
+    decided = registration.register(event_registry(spark, sf), candidates, "backward")
+    return decided.select("subject", "schema", "accepted", "version", "report")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -632,6 +689,7 @@ QUERIES = {
         late_drop,
         stream_job,
         stream_dead_letters,
+        stream_dead_letters_daily,
         registry_fields,
         registry_scan,
         registry_latest,
@@ -643,5 +701,7 @@ QUERIES = {
         compat_report,
         pair_check,
         register_gate,
+        compat_references,
+        register_invalid,
     )
 }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +60,25 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="schemaflow-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A fresh path like that of :func:`scratch_dir`, removed when the block ends."""
+    path = scratch_dir(spark, label)
+    try:
+        yield path
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a block; afterwards it has the value it had."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

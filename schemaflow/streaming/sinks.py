@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from schemaflow.operators.sinks import by_day
 from schemaflow.operators.validate import bad_rows
 from schemaflow.schemas import PARTITION_COLUMNS
 
@@ -58,22 +61,22 @@ def write_dead_letters(
     name: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Store the bad side of a stream and one summary row for each micro-batch that had any.
+    """Store the bad side of a stream by day, and one summary row for each micro-batch that had any.
 
-    Every micro-batch owns a directory named by the query and the batch, and overwrites it, so a batch that is run again
-    after a failure leaves no duplicates.
+    Within a day every micro-batch owns a directory, ``dt=…/query=…/batch=…``, and overwrites it, so a batch that is run again
+    after a failure leaves no duplicates. :func:`schemaflow.sources.tables.read_dead_letters` reads the days it is asked for.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        place = f"query={query}/batch={batch_id}"
+        place = {"query": F.lit(query), "batch": F.lit(batch_id)}
         bad = bad_rows(batch, with_failure=True).persist()
         try:
             found = summarize(bad).persist()
             # One row; taking it also fills the cache that the write below reads.
             if found.first()["bad_count"] > 0:
-                bad.drop("failure").write.mode("overwrite").parquet(f"{path}/{place}")
-                found.write.mode("overwrite").parquet(f"{summary_path}/{place}")
+                replace_batch(by_day(bad.drop("failure")).withColumns(place), path)
+                replace_batch(found.withColumn("dt", F.lit(first_day(bad))).withColumns(place), summary_path)
             found.unpersist()
         finally:
             bad.unpersist()
@@ -84,6 +87,16 @@ def write_dead_letters(
     return _triggered(writer, interval, available_now).start()
 
 
+def replace_batch(rows: DataFrame, path: str) -> None:
+    """Replace what this batch stored before and nothing else."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("dt", "query", "batch").parquet(path)
+
+
+def first_day(bad: DataFrame) -> datetime.date | None:
+    return bad.agg(F.min(F.to_date("timestamp"))).first()[0]
+
+
 def summarize(bad: DataFrame) -> DataFrame:
     """Size of a set of dead letters and a sample reason."""
     return bad.agg(F.count(F.lit(1)).alias("bad_count"), F.min("failure").alias("sample_reason"))

@@ -131,6 +131,39 @@ def test_dead_letters(spark, tmp_path):
     assert not (tmp_path / "none").exists()
 
 
+def test_dead_letters_make_few_files(spark, tmp_path):
+    day = F.timestamp_seconds(F.lit(int(DAY.timestamp())) + (F.col("id") % 30) * 86400)
+    bad = spark.range(0, 1000, 1, 40).select(
+        F.lit("t").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("id").alias("offset"),
+        day.alias("timestamp"),
+        F.unhex(F.lit("00")).alias("payload"),
+        F.lit("r").alias("reason"),
+    )
+    plain, daily = str(tmp_path / "plain"), str(tmp_path / "daily")
+    sinks.write_bad_rows(bad, plain)
+    sinks.write_bad_rows_daily(bad, daily)
+    count = lambda path: sinks.audit_totals(sinks.file_audit(spark, path)).first()["parquet_files"]
+    assert count(plain) <= 2 and count(daily) == 30
+    assert tables.read_dead_letters(spark, daily, DAY.date(), DAY.date()).count() == 34
+
+
+def test_settings_and_scratch_are_as_before(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with session.setting(spark, key, "77"), session.scratch(spark, "gone") as path:
+        assert spark.conf.get(key) == "77"
+        spark.range(3).write.parquet(path)
+    assert spark.conf.get(key) == before
+    try:
+        spark.read.parquet(path)
+    except Exception as error:
+        assert "PATH_NOT_FOUND" in str(error)
+    else:
+        raise AssertionError("the scratch folder is still there")
+
+
 def test_batch_job(spark, tmp_path):
     rows = [("orders", 2, ORDER_V2), ("orders", 1, ORDER_V1)]
     registry = spark.createDataFrame(rows, "subject string, version int, schema string")

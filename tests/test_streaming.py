@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import datetime
 import os
 
 import pytest
+from conftest import plan_of
 from fixtures import DAY, envelopes, orders
 from pyspark.sql import functions as F
 
@@ -143,11 +145,14 @@ def test_job_with_dead_letters(spark, tmp_path):
     observed = [p.observedMetrics.get("records") for p in first[0].recentProgress]
     assert max(o["records_bad"] for o in observed if o) == 7
     run()
-    letters = spark.read.option("recursiveFileLookup", "true").parquet(paths.bad)
+    letters = tables.read_dead_letters(spark, paths.bad)
     assert letters.count() == 7
-    assert os.listdir(paths.bad) == [f"query={first[1].id}"]
+    days = [d for d in os.listdir(paths.bad) if d.startswith("dt=")]
+    assert len(days) == 1 and [d for d in os.listdir(f"{paths.bad}/{days[0]}")] == [f"query={first[1].id}"]
+    later = tables.read_dead_letters(spark, paths.bad, datetime.date(2999, 1, 1))
+    assert later.count() == 0 and "dt" in plan_of(later).split("PartitionFilters: [")[1].split("]")[0]
     assert {bytes(r["payload"]) for r in letters.collect()} == {bytes([0, 1, 2, 3])}
-    summary = spark.read.option("recursiveFileLookup", "true").parquet(paths.bad_summary).collect()
+    summary = spark.read.parquet(paths.bad_summary).collect()
     assert [(r["bad_count"], r["sample_reason"]) for r in summary] == [(7, "negative length")]
     assert total_orders(stored(spark, tmp_path)).first()[0] == 1000
 
