@@ -26,7 +26,7 @@ from schemaflow.llm.tokens import read_ranks
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 # The memo of short pre-tokens keeps those of the last one or two generations of so many; it never changes a result.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 500_000
 MEMO_CHARS = 48
 BITS = [1 << i for i in range(4096)]
 
