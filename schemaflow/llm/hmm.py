@@ -15,6 +15,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +87,7 @@ class Alphabet:
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
         """Classes of the words and the end, and the words outside the head."""
-        ids = np.fromiter((self.head.get(w, -1) for w in words), np.int64, len(words))
+        ids = np.fromiter(map(self.head.get, words, repeat(-1)), np.int64, len(words))
         places = np.flatnonzero(ids < 0)
         rare = [words[i] for i in places.tolist()]
         ids[places] = [self.ending(w[-ENDING_BYTES:]) for w in rare]
@@ -176,13 +177,13 @@ class Model:
     emit: np.ndarray  # classes x states: probability of the class in the state
 
     def forward(self, chains: list[np.ndarray], keep: bool = False):
-        """log10 likelihood of each chain of classes; with ``keep`` also the scaled forward values.
+        """log10 likelihood of each chain of classes; with ``keep`` also the scaled forward values and emissions.
 
         ``chains`` come longest first, so the chains alive at a step are a prefix.
         """
         total = np.zeros(len(chains))
         grid, alive = stepwise(chains)
-        values, scales, at, value = [], [], 0, None
+        values, weights, at, value = [], [], 0, None
         for n in alive:
             seen = self.emit[grid[at : at + n]]
             at += n
@@ -192,12 +193,12 @@ class Model:
             total[:n] += np.log10(scale)
             if keep:
                 values.append(value)
-                scales.append(scale)
-        return (total, grid, alive, values, scales) if keep else total
+                weights.append(seen / scale[:, None])
+        return (total, grid, alive, values, weights) if keep else total
 
     def expect(self, chains: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
         """Add the expected counts of these chains, longest first."""
-        _, grid, alive, values, scales = self.forward(chains, keep=True)
+        _, grid, alive, values, weights = self.forward(chains, keep=True)
         states = len(self.start)
         shares = np.empty((len(grid), states))
         at, later, ahead = len(grid), np.ones((0, states)), None
@@ -212,7 +213,7 @@ class Model:
             share = values[step] * back
             share /= share.sum(axis=1, keepdims=True)
             shares[at : at + n] = share
-            later, ahead = back, self.emit[grid[at : at + n]] / scales[step][:, None]
+            later, ahead = back, weights[step]
         start += shares[: alive[0]].sum(axis=0)
         for state in range(states):
             emit[:, state] += np.bincount(grid, weights=shares[:, state], minlength=len(emit))
