@@ -275,6 +275,7 @@ FROM events""",
     "decode_v1_as_v2": f"WITH {M1} SELECT {DECODED}, 0::BIGINT AS discount_cents FROM m1",
     "decode_oldest_first": f"WITH {M1} SELECT {DECODED}, 0::BIGINT AS discount_cents FROM m1",
     "decode_newest_first": f"WITH {M1} SELECT {DECODED}, discount_cents FROM m1",
+    "decode_enum_segment": f"WITH {M1} SELECT {DECODED}, discount_cents FROM m1 WHERE customer_segment <> 'error'",
     "bad_only": """
 SELECT 'orders' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset", ts AS timestamp,
        'malformed' AS reason

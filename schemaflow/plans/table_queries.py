@@ -203,6 +203,26 @@ def decode_newest_first(spark, sf):
     return zoneless(split.valid)
 
 
+SEGMENTS = ("view", "click", "purchase", "signup")
+
+
+def decode_enum_segment(spark, sf):
+    """Orders whose segment is an enum, read as text; a fifth segment is beyond the symbols, so its orders are bad.
+
+    An enum is written as the number of its symbol, so the payloads are encoded with an int in its place.
+    """
+    fields = json.loads(schemas.ORDER_V2)["fields"]
+    kind = {"type": "enum", "name": "Segment", "symbols": list(SEGMENTS)}
+    numbered, named = (
+        schemas.order_schema([{**f, "type": t} if f["name"] == "customer_segment" else f for f in fields])
+        for t in ("int", kind)
+    )
+    place = F.array_position(F.array(*map(F.lit, SEGMENTS)), F.col("customer_segment")) - 1
+    number = F.when(place >= 0, place).otherwise(len(SEGMENTS))
+    orders = event_orders(spark, sf).withColumn("customer_segment", number)
+    return zoneless(val.validate(as_envelopes(orders, numbered), named).valid)
+
+
 def bad_only(spark, sf):
     return zoneless(val.bad_only(event_envelopes(spark, sf)).drop("payload"))
 
@@ -668,6 +688,7 @@ QUERIES = {
         decode_v1_as_v2,
         decode_oldest_first,
         decode_newest_first,
+        decode_enum_segment,
         bad_only,
         replay_bad,
         synthetic_orders,
