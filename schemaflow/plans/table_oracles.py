@@ -47,7 +47,8 @@ SELECT * FROM daily WHERE customer_segment <> 'error' UNION ALL SELECT * FROM st
 """
 BAD = """
   SELECT 'orders' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset", event_time AS timestamp,
-         '00010203' AS payload, 'decode failed' AS reason
+         ['00010203', '', 'FFFFFFFFFFFFFFFFFFFFFF', '0861', NULL, '02610262'][event_id // 10 % 6 + 1] AS payload,
+         'decode failed' AS reason
   FROM m1 WHERE event_id % 10 = 0"""
 
 # Bytes of a zig-zag varint of a number that is not negative.
@@ -65,7 +66,7 @@ PAYLOAD_BYTES = " + ".join(
 COUNTERS = f"""
   SELECT count(*) AS records_in, count(*) FILTER (event_id % 10 <> 0) AS records_valid,
          count(*) FILTER (event_id % 10 = 0) AS records_bad,
-         CAST(sum(CASE WHEN event_id % 10 = 0 THEN 4 ELSE {PAYLOAD_BYTES} END) AS BIGINT) AS bytes_in
+         CAST(sum(CASE WHEN event_id % 10 = 0 THEN [4, 0, 11, 2, 0, 4][event_id // 10 % 6 + 1] ELSE {PAYLOAD_BYTES} END) AS BIGINT) AS bytes_in
   FROM m1"""
 
 # ---- schema registries -------------------------------------------------------------------------------------------
@@ -301,7 +302,7 @@ WITH {M1}, {DAILY} SELECT *, 'files' AS place FROM daily UNION ALL SELECT *, 'ta
 SELECT CAST(ts AS DATE) AS dt, count(*) AS bad_count FROM events WHERE event_id % 10 = 0 GROUP BY ALL""",
     "dead_letter_conditional": f"WITH {M1} {BAD}",
     "bad_summary": """
-SELECT count(*) AS bad_count, 'negative length' AS sample_reason FROM events WHERE event_id % 10 = 0""",
+SELECT count(*) AS bad_count, 'empty payload' AS sample_reason FROM events WHERE event_id % 10 = 0""",
     "dedup_latest": CORRECTED,
     "dynamic_overwrite": CORRECTED,
     "file_audit": f"""
@@ -330,7 +331,7 @@ FROM kept GROUP BY ALL""",
     "stream_job": f"WITH {M1} {STREAMED}",
     "stream_dead_letters": f"""
 WITH {M1}, bad AS ({BAD})
-SELECT *, (SELECT count(*) FROM bad) AS summed_count, 'negative length' AS sample_reason FROM bad""",
+SELECT *, (SELECT count(*) FROM bad) AS summed_count, 'empty payload' AS sample_reason FROM bad""",
     "registry_fields": f"WITH {EVENT_VERSIONS}, {FIELDS} {FIELD_COLUMNS}",
     "registry_scan": f"""
 WITH v AS (

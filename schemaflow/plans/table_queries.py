@@ -27,7 +27,9 @@ from schemaflow.streaming.job import StreamPaths, run_stream
 
 TOPIC = "orders"
 SENTINEL = "sentinel"
-CORRUPT = "00010203"
+# Payloads that no order schema reads. A negative length, nothing, an over-long number, a text longer than what
+# follows, null, and an end after two fields.
+CORRUPT = ("00010203", "", "FFFFFFFFFFFFFFFFFFFFFF", "0861", None, "02610262")
 
 _v4 = json.loads(schemas.ORDER_V2)
 ORDER_WITH_REGION = schemas.order_schema([*_v4["fields"], {"name": "region", "type": "string"}])
@@ -74,11 +76,12 @@ def customer_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def as_envelopes(orders: DataFrame, schema: str = schemas.ORDER_V2, corrupt: bool = False) -> DataFrame:
-    """Orders as topic records; with ``corrupt`` the payload of every tenth order is garbage."""
+    """Orders as topic records; with ``corrupt`` the payload of every tenth order is garbage, of six kinds in turn."""
     number = F.col("order_id").cast("bigint")
     value = encode_orders(schema)
     if corrupt:
-        value = F.when(number % 10 == 0, F.unhex(F.lit(CORRUPT))).otherwise(value)
+        kind = F.pmod(F.floor(number / 10), F.lit(len(CORRUPT))).cast("int") + 1
+        value = F.when(number % 10 == 0, F.unhex(F.element_at(F.array(*map(F.lit, CORRUPT)), kind))).otherwise(value)
     partition = F.col("customer_id").cast("bigint") % 4
     return topics.to_envelopes(orders, TOPIC, partition, number, F.col("event_time"), value)
 
