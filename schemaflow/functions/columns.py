@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The segments, and the hour as text.
 SEGMENTS = ("retail", "wholesale", "premium")
 HOUR_FORMAT = "yyyy-MM-dd-HH"
 HOUR_PATTERN = r"^\d{4}-\d{2}-\d{2}-\d{2}$"

@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import types as T
 
-# What a topic snapshot looks like once its position columns are kept.
+# The column names and types of all rows below. A topic snapshot with its position columns:
 ENVELOPE = T.StructType(
     [
         T.StructField("topic", T.StringType()),
