@@ -2,7 +2,8 @@
 
 One permutation scatters the shingles of a text over 2^18 places. A second one, shifted circularly by k places, gives
 coordinate k of the signature as its least value over those places, so two permutations give all coordinates. Six
-coordinates form a band, 28 bands a signature: two sets of similarity 0.85 share no band with probability 2e-6.
+coordinates form a band; a signature has as many bands as two sets at the limit need to share none with probability 2e-6 only:
+28 for similarity 0.85, 44 for 0.80.
 
 Texts of equal sets are one class, and only classes are compared. Classes of equal band keys form buckets. Every link is
 confirmed on full sets, in two steps that never emit all pairs of a bucket:
@@ -19,6 +20,7 @@ bucket mates.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,11 +33,12 @@ from schemaflow.llm.common import stored, structs, table, utf8
 from schemaflow.llm.components import components
 from schemaflow.llm.shingles import Shingler, common, mixed
 
-BANDS, ROWS = 28, 6
+ROWS = 6
+# How often two sets exactly at the limit may share no band.
+MISSED = 2e-6
 PLACES_BITS = 18
 SCATTER = np.uint64(0xD6E8FEB86659FD93)
 ROW_FACTORS = mixed(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-BAND_TERMS = mixed(np.arange(100, 100 + BANDS, dtype=np.uint64))
 BLOCK_SHINGLES = 1 << 16
 COUNTED_SHINGLES = 1 << 21
 # A shingle of so few classes gives its pairs of holders itself.
@@ -44,33 +47,44 @@ RARE = 4
 LARGE_BUCKET = 64
 
 
-def shifted_permutation() -> np.ndarray:
+def band_count(percent: int) -> int:
+    """The fewest bands with which sets of this similarity share none with a probability of at most ``MISSED``."""
+    agree = (percent / 100) ** ROWS
+    return math.ceil(math.log(MISSED) / math.log1p(-agree)) if agree < 1 else 1
+
+
+BANDS = band_count(85)
+
+
+def shifted_permutation(n_bands: int = BANDS) -> np.ndarray:
     """The second permutation, continued around the circle by as many places as there are shifts."""
     once = np.random.default_rng(20).permutation(1 << PLACES_BITS).astype(np.uint32)
-    return np.concatenate([once, once[: BANDS * ROWS]])
+    return np.concatenate([once, once[: n_bands * ROWS]])
 
 
 def band_keys(sets: list[np.ndarray], permutation: np.ndarray) -> np.ndarray:
-    """One row of 64-bit band keys for each set, none of them empty."""
+    """One row of 64-bit band keys for each set, none of them empty; the permutation has a shift for each coordinate."""
+    shifts = len(permutation) - (1 << PLACES_BITS)
+    terms = mixed(np.arange(100, 100 + shifts // ROWS, dtype=np.uint64))
     places = ((np.concatenate(sets) * SCATTER) >> np.uint64(64 - PLACES_BITS)).astype(np.intp)
     starts = np.cumsum([0, *map(len, sets)])[:-1]
-    signature = np.empty((BANDS * ROWS, len(sets)), dtype=np.uint64)
-    for shift in range(BANDS * ROWS):
+    signature = np.empty((shifts, len(sets)), dtype=np.uint64)
+    for shift in range(shifts):
         signature[shift] = np.minimum.reduceat(permutation[shift:].take(places), starts)
-    bands = signature.T.reshape(len(sets), BANDS, ROWS)
-    return mixed((bands * ROW_FACTORS).sum(axis=2, dtype=np.uint64) + BAND_TERMS).view(np.int64)
+    bands = signature.T.reshape(len(sets), -1, ROWS)
+    return mixed((bands * ROW_FACTORS).sum(axis=2, dtype=np.uint64) + terms).view(np.int64)
 
 
 def signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
-def profile(text: Column) -> Column:
+def profile(text: Column, n_bands: int) -> Column:
     """struct<n, high, low, bands>: shingles, a 128-bit digest of their set, and band keys (none for an empty set)."""
 
     @F.arrow_udf("struct<n: long, high: long, low: long, bands: array<long>>")
     def run(texts: pa.Array) -> pa.Array:
-        shingler, permutation = Shingler(), shifted_permutation()
+        shingler, permutation = Shingler(), shifted_permutation(n_bands)
         n, high, low, bands = [], [], [], []
         block, waiting = [], 0
 
@@ -255,9 +269,9 @@ def remaining(mates: DataFrame, keys: DataFrame, centers: DataFrame, labels: Dat
     return pairs.select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
 
 
-def profiled(docs: DataFrame, text: str = "text") -> DataFrame:
+def profiled(docs: DataFrame, text: str, percent: int) -> DataFrame:
     """The rows of ``docs`` stored with all their columns, a number, and the profile of their text."""
-    found = docs.withColumn("__p", profile(utf8(text))).withColumn("__row", F.monotonically_increasing_id())
+    found = docs.withColumn("__p", profile(utf8(text), band_count(percent))).withColumn("__row", F.monotonically_increasing_id())
     names = ("n", "high", "low", "bands")
     return stored(found.select(*docs.columns, "__row", *(F.col(f"__p.{n}").alias(f"__{n}") for n in names)), "near-rows")
 
@@ -303,18 +317,18 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     sets are linked. Null ids come last in a component's order and repeated ids are rows like any other; of equal ids the
     row read first is ``first``. Other columns are not read. No rows give no rows.
     """
-    return grouped(profiled(docs.select(doc_id, text), text), doc_id, text, percent)
+    return grouped(profiled(docs.select(doc_id, text), text, percent), doc_id, text, percent)
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """One row of each near-duplicate group, with all its columns: the one of the smallest id."""
-    rows = profiled(docs, text)
+    rows = profiled(docs, text, percent)
     first = grouped(rows, doc_id, text, percent).filter("first").select(F.col("row").alias("__row"))
     return rows.join(first, "__row", "left_semi").select(*docs.columns)
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = near_groups(table(spark, sf_dir, "documents"))
+    groups = near_groups(table(spark, sf_dir, "documents"), percent=85)
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     return groups.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
