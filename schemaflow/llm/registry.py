@@ -3,7 +3,19 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from schemaflow.llm import bpe, hmm, minhash, packing, quality_bayes, quality_rules, secrets, sharding, topk, toxicity
+from schemaflow.llm import (
+    bpe,
+    hmm,
+    merkle,
+    minhash,
+    packing,
+    quality_bayes,
+    quality_rules,
+    secrets,
+    sharding,
+    topk,
+    toxicity,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -16,6 +28,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
+    "op13_merkle": merkle.op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -23,4 +36,5 @@ ORACLES = {
     "op2_minhash": minhash.ORACLE,
     "op3_topk": topk.ORACLE,
     "op4_quality_bayes": quality_bayes.ORACLE,
+    "op13_merkle": merkle.ORACLE,
 }
