@@ -15,6 +15,7 @@ from schemaflow.llm import (
     sharding,
     topk,
     toxicity,
+    vptree,
 )
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
+    "op12_vptree": vptree.op12_vptree,
     "op13_merkle": merkle.op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
