@@ -13,6 +13,7 @@ from schemaflow.llm import (
     quality_rules,
     secrets,
     sharding,
+    spelling,
     topk,
     toxicity,
     vptree,
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
+    "op11_spelling": spelling.op11_spelling,
     "op12_vptree": vptree.op12_vptree,
     "op13_merkle": merkle.op13_merkle,
     "pipeline": corpus_pipeline.run,
@@ -38,5 +40,6 @@ ORACLES = {
     "op2_minhash": minhash.ORACLE,
     "op3_topk": topk.ORACLE,
     "op4_quality_bayes": quality_bayes.ORACLE,
+    "op11_spelling": spelling.ORACLE,
     "op13_merkle": merkle.ORACLE,
 }
