@@ -193,7 +193,8 @@ def test_malformed_schema_raises(spark, text):
         compat.check(pairs_frame(spark, {"broken": (text, BASE)})).collect()
     rows = spark.createDataFrame([("s", 3, text)], "subject string, version int, schema string")
     with pytest.raises(Exception, match="malformed schema of s version 3"):
-        compat.check_consecutive(rows.unionByName(rows.selectExpr("subject", "4 version", "schema"))).collect()
+        sound = spark.createDataFrame([("s", 4, BASE)], "subject string, version int, schema string")
+        compat.check_consecutive(rows.unionByName(sound)).collect()
 
 
 ENUM, FIXED = {"type": "enum", "name": "E", "symbols": ["A"]}, {"type": "fixed", "name": "F", "size": 2}
