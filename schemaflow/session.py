@@ -52,14 +52,20 @@ def catalog_options(warehouse: str, catalog: str = "lake", extensions: str = "")
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where that setting is absent and the session is local.
+    All paths of an application lie below one folder, which its file system removes when the application ends; an application that is
+    killed leaves it behind. A machine-local folder is used only where that setting is absent and the session is local.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="schemaflow-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = f"{tempfile.gettempdir()}/schemaflow"
+    own = f"{base.rstrip('/')}/schemaflow-{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(own)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.mkdirs(place):
+        fs.deleteOnExit(place)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager

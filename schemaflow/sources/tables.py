@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from schemaflow.schemas import AGGREGATE_ROW, BAD_ROW
+from schemaflow.streaming.ledger import read_batches
 
 WRITTEN_AT = T.StructField("written_at", T.TimestampType())
 
@@ -44,9 +45,8 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 def read_dead_letters(
     spark: SparkSession, path: str, first: datetime.date | None = None, last: datetime.date | None = None
 ) -> DataFrame:
-    """Dead letters stored by day, with their ``dt``; only the days from ``first`` to ``last`` are listed and read."""
-    columns = [*BAD_ROW.fields, T.StructField("dt", T.DateType())]
-    rows = spark.read.schema(T.StructType(columns)).parquet(path).select(*(c.name for c in columns))
-    if first is not None:
-        rows = rows.filter(F.col("dt") >= F.lit(first))
-    return rows if last is None else rows.filter(F.col("dt") <= F.lit(last))
+    """Dead letters stored by day, with their ``dt``; only the days from ``first`` to ``last`` are listed and read.
+
+    Days that were closed into few files are read from there.
+    """
+    return read_batches(spark, path, BAD_ROW, first, last).drop("query", "batch")

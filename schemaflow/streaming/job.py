@@ -1,4 +1,4 @@
-"""The streaming job: tail, split, window metrics, sinks."""
+"""The streaming job: tail, one decode, window metrics, dead letters, counters."""
 
 from __future__ import annotations
 
@@ -9,16 +9,33 @@ from pyspark.sql.streaming import StreamingQuery
 
 from schemaflow.operators.metrics import observed
 from schemaflow.operators.registration import reader_and_writers
-from schemaflow.operators.validate import split_tagged, validate
+from schemaflow.operators.validate import valid_rows, validate
 from schemaflow.streaming.aggregate import LATENESS, aggregate_stream
+from schemaflow.streaming.decoded import store_decoded, stream_decoded
 from schemaflow.streaming.sinks import TRIGGER, write_aggregates, write_dead_letters
 
 
 class StreamPaths(NamedTuple):
+    """``decoded``, ``bad_summary`` and ``counters`` get names of their own beside the others where they are not given."""
+
     output: str
     checkpoint: str
     bad: str | None = None
     bad_summary: str | None = None
+    decoded: str | None = None
+    counters: str | None = None
+
+    @property
+    def stored(self) -> str:
+        return self.decoded or f"{self.output}-decoded"
+
+    @property
+    def summary(self) -> str:
+        return self.bad_summary or f"{self.bad}-summary"
+
+    @property
+    def counted(self) -> str:
+        return self.counters or f"{self.bad}-counters"
 
 
 def run_stream(
@@ -34,21 +51,33 @@ def run_stream(
 ) -> list[StreamingQuery]:
     """Start the job on a streaming envelope frame; returns its queries for the caller to await or stop.
 
-    The first query writes the metrics. A second one, with its own checkpoint and its own read of the source, stores the
-    dead letters if ``paths.bad`` is given; otherwise they are dropped. Counters of every micro-batch are observed under
-    ``records`` in the progress of the first.
+    The first query reads and decodes the source and stores both sides; counters of its micro-batches are observed under
+    ``records`` in its progress. The others tail what it stored, each with its own checkpoint: dead letters and exact counters if
+    ``paths.bad`` is given (otherwise the bad side is stored and not listed), and, last, the window metrics. So the source is
+    read once and no payload is decoded twice, for one more micro-batch of delay. With ``available_now`` the first query is
+    drained before the others start.
     """
+    spark = source.sparkSession
     reader, writers = reader_and_writers(registry, subject)
     tagged = validate(source, reader, writers).tagged
-    counted = split_tagged(observed(tagged, "records"))
-    metrics = aggregate_stream(counted.valid, duration, lateness)
-    queries = [
-        write_aggregates(metrics, paths.output, f"{paths.checkpoint}/aggregate", interval, name, available_now)
-    ]
+    checkpoint = f"{paths.checkpoint}/decode"
+    decoding = store_decoded(
+        observed(tagged, "records"), paths.stored, checkpoint, interval, f"{name}-decode", available_now
+    )
+    if available_now:
+        decoding.awaitTermination()
+    queries = [decoding]
     if paths.bad:
-        summary = paths.bad_summary or f"{paths.bad}-summary"
-        letters = f"{paths.checkpoint}/dead-letters"
+        letters = stream_decoded(spark, paths.stored, tagged.schema)
+        checkpoint = f"{paths.checkpoint}/dead-letters"
         queries.append(
-            write_dead_letters(tagged, paths.bad, summary, letters, interval, f"{name}-bad", available_now)
+            write_dead_letters(
+                letters, paths.bad, paths.summary, checkpoint, interval, f"{name}-bad", available_now, paths.counted
+            )
         )
+    orders = valid_rows(stream_decoded(spark, paths.stored, tagged.schema))
+    metrics = aggregate_stream(orders, duration, lateness)
+    queries.append(
+        write_aggregates(metrics, paths.output, f"{paths.checkpoint}/aggregate", interval, name, available_now)
+    )
     return queries

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import datetime
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from schemaflow.operators.metrics import counters
 from schemaflow.operators.sinks import by_day
 from schemaflow.operators.validate import bad_rows
 from schemaflow.schemas import PARTITION_COLUMNS
+from schemaflow.streaming.ledger import replace_batch
 
 TRIGGER = "30 seconds"
 
 
-def _triggered(writer, interval: str | None, available_now: bool):
+def triggered(writer, interval: str | None, available_now: bool):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval or TRIGGER)
 
 
@@ -49,7 +49,7 @@ def write_aggregates(
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    return _triggered(writer, interval, available_now).start()
+    return triggered(writer, interval, available_now).start()
 
 
 def write_dead_letters(
@@ -60,23 +60,31 @@ def write_dead_letters(
     interval: str = TRIGGER,
     name: str | None = None,
     available_now: bool = False,
+    counters_path: str | None = None,
 ) -> StreamingQuery:
     """Store the bad side of a stream by day, and one summary row for each micro-batch that had any.
 
-    Within a day every micro-batch owns a directory, ``dt=…/query=…/batch=…``, and overwrites it, so a batch that is run again
-    after a failure leaves no duplicates. :func:`schemaflow.sources.tables.read_dead_letters` reads the days it is asked for.
+    With ``counters_path`` the record counters of every micro-batch are stored too, one row each. Within a day every
+    micro-batch owns a directory in each of the three places and overwrites it, so a batch that is run again after a failure
+    leaves no duplicates and counts once. :mod:`schemaflow.streaming.ledger` reads them, and closes days into few files. Give the
+    stream of :func:`schemaflow.streaming.decoded.stream_decoded`: a batch is read once for its counters and once for its bad
+    rows, which must not decode it again.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        place = {"query": F.lit(query), "batch": F.lit(batch_id)}
+        place = {"query": F.lit(query), "batch": F.lit(batch_id).cast("long")}
+        day = F.to_date(F.coalesce("timestamp", "event_time"))
+        if counters_path:
+            counted = batch.agg(F.min(day).alias("dt"), *counters())
+            replace_batch(counted.withColumns(place), counters_path)
         bad = bad_rows(batch, with_failure=True).persist()
         try:
-            found = summarize(bad).persist()
+            found = bad.agg(F.min(F.to_date("timestamp")).alias("dt"), *summary()).persist()
             # One row; taking it also fills the cache that the write below reads.
             if found.first()["bad_count"] > 0:
                 replace_batch(by_day(bad.drop("failure")).withColumns(place), path)
-                replace_batch(found.withColumn("dt", F.lit(first_day(bad))).withColumns(place), summary_path)
+                replace_batch(found.withColumns(place), summary_path)
             found.unpersist()
         finally:
             bad.unpersist()
@@ -84,22 +92,16 @@ def write_dead_letters(
     writer = tagged.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    return _triggered(writer, interval, available_now).start()
-
-
-def replace_batch(rows: DataFrame, path: str) -> None:
-    """Replace what this batch stored before and nothing else."""
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("dt", "query", "batch").parquet(path)
+    return triggered(writer, interval, available_now).start()
 
 
-def first_day(bad: DataFrame) -> datetime.date | None:
-    return bad.agg(F.min(F.to_date("timestamp"))).first()[0]
+def summary() -> list[Column]:
+    return [F.count(F.lit(1)).alias("bad_count"), F.min("failure").alias("sample_reason")]
 
 
 def summarize(bad: DataFrame) -> DataFrame:
     """Size of a set of dead letters and a sample reason."""
-    return bad.agg(F.count(F.lit(1)).alias("bad_count"), F.min("failure").alias("sample_reason"))
+    return bad.agg(*summary())
 
 
 def drain(query: StreamingQuery, seconds: int = 120) -> bool:

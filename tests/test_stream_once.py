@@ -1,0 +1,143 @@
+"""The streaming job decodes once, counts once, and merges its sketches."""
+
+from __future__ import annotations
+
+import os
+
+from conftest import plan_of
+from fixtures import envelopes, orders
+from pyspark.sql import functions as F
+from test_streaming import hour_orders
+
+from schemaflow.operators.aggregate import aggregate, total_orders
+from schemaflow.operators.metrics import batch_counters, stream_totals
+from schemaflow.operators.validate import valid_rows, validate
+from schemaflow.schemas import BAD_ROW, ORDER_V1, ORDER_V2
+from schemaflow.sources import tables, topics
+from schemaflow.streaming import aggregate as sagg
+from schemaflow.streaming import ledger
+from schemaflow.streaming import sinks as ssinks
+from schemaflow.streaming.decoded import store_decoded, stream_decoded
+from schemaflow.streaming.job import StreamPaths, run_stream
+
+
+def source_of(spark, tmp_path, n=300):
+    source = str(tmp_path / "in")
+    good = envelopes(hour_orders(spark, n), ORDER_V2)
+    bad = good.limit(7).withColumn("value", F.unhex(F.lit("00010203")))
+    good.unionByName(bad).repartition(3).write.parquet(source)
+    return source
+
+
+def job(spark, source, paths):
+    rows = [("orders", 1, ORDER_V1), ("orders", 2, ORDER_V2)]
+    registry = spark.createDataFrame(rows, "subject string, version int, schema string")
+    stream = topics.stream_envelopes(spark, source, files_per_trigger=1)
+    queries = run_stream(stream, registry, "orders", paths, name=None, available_now=True)
+    assert all(ssinks.drain(q) for q in queries)
+    return queries
+
+
+def forget_last_commit(checkpoint):
+    """As if the driver had died after the work of the last micro-batch and before it was committed."""
+    commits = f"{checkpoint}/commits"
+    last = max(int(n) for n in os.listdir(commits) if n.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        if os.path.exists(f"{commits}/{name}"):
+            os.remove(f"{commits}/{name}")
+
+
+def totals(spark, paths):
+    rows = stream_totals(batch_counters(spark, paths.counted)).collect()
+    return [(r["records_in"], r["records_valid"], r["records_bad"]) for r in rows]
+
+
+def test_restart_and_retried_batches_add_nothing(spark, tmp_path):
+    source = source_of(spark, tmp_path)
+    paths = StreamPaths(str(tmp_path / "out"), str(tmp_path / "checkpoint"), str(tmp_path / "bad"))
+
+    def state():
+        letters = tables.read_dead_letters(spark, paths.bad).count()
+        summary = spark.read.parquet(paths.summary).agg(F.sum("bad_count")).first()[0]
+        return totals(spark, paths), letters, summary, total_orders(tables.read_aggregates(spark, paths.output)).first()[0]
+
+    queries = job(spark, source, paths)
+    assert len(queries) == 3
+    want = [(308, 301, 7)], 7, 7, 300
+    assert state() == want
+    sizes = sum(r["bytes_in"] for r in batch_counters(spark, paths.counted).collect())
+    assert sizes == spark.read.parquet(source).agg(F.sum(F.octet_length("value"))).first()[0]
+    job(spark, source, paths)
+    assert state() == want
+    for name in ("decode", "dead-letters", "aggregate"):
+        forget_last_commit(f"{paths.checkpoint}/{name}")
+    job(spark, source, paths)
+    assert state() == want
+    envelopes(orders(spark, [("late one", "c", "S", 5, 2880, 0)])).write.mode("append").parquet(source)
+    job(spark, source, paths)
+    assert totals(spark, paths) == [(309, 302, 7)]
+    day = ledger.closed_days(spark, paths.bad)
+    assert day == {} and len(ledger.close_days(spark, paths.bad, BAD_ROW)) == 1
+    assert tables.read_dead_letters(spark, paths.bad).count() == 7
+
+
+def test_only_the_first_query_decodes(spark, tmp_path):
+    source = source_of(spark, tmp_path)
+    paths = StreamPaths(str(tmp_path / "out"), str(tmp_path / "checkpoint"), str(tmp_path / "bad"))
+    decode, letters, metrics = job(spark, source, paths)
+    plans = [q._jsq.explainInternal(False) for q in (decode, letters, metrics)]
+    assert "ArrowEvalPython" in plans[0]
+    assert not any("ArrowEvalPython" in p or "/in" in p for p in plans[1:])
+    assert all(s.description.find(f"{paths.stored}") >= 0 for q in (letters, metrics) for s in q.lastProgress.sources)
+
+
+def test_each_side_opens_its_own_files(spark, tmp_path):
+    source = source_of(spark, tmp_path)
+    tagged = validate(topics.stream_envelopes(spark, source), ORDER_V2).tagged
+    path = str(tmp_path / "rows")
+    assert ssinks.drain(store_decoded(tagged, path, str(tmp_path / "decode"), available_now=True))
+    assert {n for n in os.listdir(path) if "=" in n} == {"valid=true", "valid=false"}
+    stored = valid_rows(spark.read.schema(tagged.schema).parquet(path))
+    assert stored.count() == 301 and "valid" in plan_of(stored).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_followers_may_start_first(spark, tmp_path):
+    """Nothing is stored yet when the stream over it starts."""
+    source = source_of(spark, tmp_path)
+    tagged = validate(topics.stream_envelopes(spark, source), ORDER_V2).tagged
+    path = str(tmp_path / "rows")
+    os.makedirs(path)
+    follower = valid_rows(stream_decoded(spark, path, tagged.schema)).writeStream.format("parquet")
+    follower = follower.option("checkpointLocation", str(tmp_path / "cp")).start(str(tmp_path / "copy"))
+    try:
+        follower.processAllAvailable()
+        assert ssinks.drain(store_decoded(tagged, path, str(tmp_path / "decode"), available_now=True))
+        follower.processAllAvailable()
+    finally:
+        follower.stop()
+    copy = spark.read.parquet(str(tmp_path / "copy"))
+    assert copy.count() == 301 and copy.filter("order_id is null or event_time is null").count() == 0
+
+
+def test_rolled_up_sketches_equal_those_of_the_orders(spark):
+    i = F.col("id")
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("o"), (i % 40_000).cast("string")).alias("order_id"),
+        F.lit("c").alias("customer_id"),
+        F.when(i % 3 == 0, "a").otherwise("b").alias("customer_segment"),
+        i.alias("total_cents"),
+        F.timestamp_seconds(1_704_067_200 + i * 2).alias("event_time"),
+        F.lit(1).cast("long").alias("discount_cents"),
+    )
+    for grain in (["customer_id", "customer_segment"], ["customer_segment"], []):
+        direct = sagg.estimated(sagg.roll_up(sagg.sketch(rows, "1 day"), "1 day", grain))
+        merged = sagg.estimated(sagg.roll_up(sagg.roll_up(sagg.sketch(rows.repartition(7), "10 minutes"), "1 hour"), "1 day", grain))
+        assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, direct.collect()))
+    exact = {(r["customer_segment"], r["window_start"]): r for r in aggregate(rows, "1 day").collect()}
+    for r in sagg.estimated(sagg.sketch(rows, "1 day")).collect():
+        want = exact[r["customer_segment"], r["window_start"]]
+        assert abs(r["order_id_distinct"] - want["order_id_distinct"]) <= 0.06 * want["order_id_distinct"]
+        assert [r[n] for n in ("order_count", "net_cents_sum", "net_cents_max")] == [
+            want[n] for n in ("order_count", "net_cents_sum", "net_cents_max")
+        ]
+        assert abs(r["net_cents_avg"] - want["net_cents_avg"]) < 1e-6
