@@ -15,7 +15,7 @@ LEVELS = ("backward", "forward", "full", "none")
 
 VIOLATION_TYPE = "struct<kind:string,field_name:string,old_value:string,new_value:string,message:string>"
 
-# What a reader may promote besides reading the same type, and the texts of the six kinds.
+# What a reader may promote besides reading the same type.
 SAFE_PROMOTIONS = (
     "INT>LONG",
     "INT>FLOAT",
@@ -26,6 +26,7 @@ SAFE_PROMOTIONS = (
     "STRING>BYTES",
     "BYTES>STRING",
 )
+# The kinds of violations and their texts.
 MESSAGES = {
     "MissingDefault": "field '%1$s' added without a default; old records would have nothing to fill it with",
     "RenamedWithoutAlias": (
@@ -211,7 +212,12 @@ def report(found: Column) -> Column:
 
 
 def with_docs(registry: DataFrame) -> DataFrame:
-    """Each version read once; a text that is no valid schema raises."""
+    """subject, version and doc of each version, read once; a text that is no valid schema raises.
+
+    A registry that comes with ``doc``, as :func:`schemaflow.sources.registry.read_registry` gives it, is not read again.
+    """
+    if "doc" in registry.columns:
+        return registry.select("subject", "version", "doc")
     read = registry.select("subject", "version", schema_doc(F.col("schema")).alias("doc"))
     place = F.concat_ws(" version ", F.col("subject"), F.col("version").cast("string"))
     return read.withColumn("doc", valid_doc(F.col("doc"), place))

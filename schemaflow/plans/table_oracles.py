@@ -63,6 +63,22 @@ PAYLOAD_BYTES = " + ".join(
     [f"{_varint(f'length({c})')} + length({c})" for c in ("order_id", "customer_id", "customer_segment")]
     + [_varint("total_cents"), _varint("epoch_ms(event_time)"), _varint("discount_cents")]
 )
+
+
+def _varint_hex(number: str) -> str:
+    """Bytes of the same varint in hex."""
+    parts = [
+        f"CASE WHEN {k} = 0 OR 2 * ({number}) >= {1 << 7 * k} THEN printf('%02X', ((2 * ({number})) >> {7 * k}) & 127"
+        f" | CASE WHEN 2 * ({number}) >= {1 << 7 * (k + 1)} THEN 128 ELSE 0 END) ELSE '' END"
+        for k in range(8)
+    ]
+    return "(" + " || ".join(parts) + ")"
+
+
+PAYLOAD_HEX = " || ".join(
+    [f"{_varint_hex(f'length({c})')} || hex({c})" for c in ("order_id", "customer_id", "customer_segment")]
+    + [_varint_hex("total_cents"), _varint_hex("epoch_us(event_time) // 1000"), _varint_hex("discount_cents")]
+)
 COUNTERS = f"""
   SELECT count(*) AS records_in, count(*) FILTER (event_id % 10 <> 0) AS records_valid,
          count(*) FILTER (event_id % 10 = 0) AS records_bad,
@@ -110,6 +126,30 @@ FIELD_COLUMNS = """
               ELSE '["null","' || base || '"]' END AS type_json, tag, is_nullable, has_default
   FROM flds"""
 
+# The text of every version, and its canonical form, from the fields.
+TEXTS = """
+typed AS (
+  SELECT *, CASE WHEN base LIKE '{%' THEN base ELSE '"' || base || '"' END AS plain,
+         CASE tag WHEN 'STRING' THEN '""' WHEN 'BYTES' THEN '""' WHEN 'BOOLEAN' THEN 'false' WHEN 'FLOAT' THEN '0.0'
+              WHEN 'DOUBLE' THEN '0.0' ELSE '0' END AS filler
+  FROM flds),
+written AS (
+  SELECT subject, version, string_agg('{"name":"' || name || '","type":'
+           || CASE WHEN is_nullable THEN '["null",' || plain || ']' ELSE plain END
+           || CASE WHEN alias IS NULL THEN '' ELSE ',"aliases":["' || alias || '"]' END
+           || CASE WHEN NOT has_default THEN '}' WHEN is_nullable THEN ',"default":null}'
+                   ELSE ',"default":' || filler || '}' END, ',' ORDER BY pos) AS listed,
+         string_agg('{"name":"' || name || '","type":' || CASE WHEN is_nullable THEN '["null","' || lower(tag) || '"]'
+           ELSE '"' || lower(tag) || '"' END || '}', ',' ORDER BY pos) AS bare
+  FROM typed GROUP BY ALL),
+texts AS (
+  SELECT r.subject, r.version, '{"type":"record","name":"' || replace(full_name, 'fixtures.events.', '')
+           || '","namespace":"fixtures.events"' || CASE WHEN alias IS NULL THEN '' ELSE ',"aliases":["Order"]' END
+           || ',"fields":[' || coalesce(listed, '') || ']}' AS schema,
+         '{"name":"' || full_name || '","type":"record","fields":[' || coalesce(bare, '') || ']}' AS canonical
+  FROM recs r LEFT JOIN written w ON w.subject = r.subject AND w.version = r.version)
+"""
+
 _MESSAGE = """
   CASE kind
     WHEN 'MissingDefault' THEN 'field ''' || field_name
@@ -218,12 +258,47 @@ known AS (SELECT subject, max(version) AS version, count(*) AS n FROM registered
 pairs AS (
   SELECT subject, version AS old_version, 2147483647 AS new_version
   FROM known WHERE subject IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer)),
-{_rules('backward')}, {REPORTED}
+{_rules('backward')}, {REPORTED}, {TEXTS},
+kinds AS (SELECT subject, string_agg(kind, ',' ORDER BY ord) AS kinds FROM found GROUP BY subject)
 SELECT CAST(c_custkey AS VARCHAR) AS subject, coalesce(compatible, true) AS accepted,
        CASE WHEN coalesce(compatible, true) THEN CAST(coalesce(n, 0) + 1 AS INTEGER) END AS version,
-       coalesce(report, 'compatible') AS report
+       coalesce(report, 'compatible') AS report, texts.schema, coalesce(kinds, '') AS kinds
 FROM customer c LEFT JOIN known ON known.subject = CAST(c_custkey AS VARCHAR)
 LEFT JOIN reported ON reported.subject = CAST(c_custkey AS VARCHAR)
+LEFT JOIN kinds ON kinds.subject = CAST(c_custkey AS VARCHAR)
+JOIN texts ON texts.subject = CAST(c_custkey AS VARCHAR) AND texts.version = 2147483647
+"""
+
+# Candidates are versions from 2000000000 on; every pair that could meet is checked, and the chain picks its way through.
+SEQUENCE = f"""
+WITH RECURSIVE registered AS (
+  SELECT CAST(user_id AS VARCHAR) AS subject, CAST(event_id + 1 AS INTEGER) AS version, event_id AS e,
+         coalesce(CAST(json_extract_string(props, '$.k') AS BIGINT), 0) AS k
+  FROM events),
+offered AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS subject, CAST(ord AS INTEGER) AS ord, CAST(2000000000 + ord AS INTEGER) AS version,
+         c_custkey + CASE WHEN ord = 2 THEN 1 ELSE 0 END AS e, c_nationkey * 4 AS k
+  FROM customer, range(4) AS places(ord)),
+v AS (FROM registered UNION ALL SELECT subject, version, e, k FROM offered),
+{FIELDS},
+known AS (SELECT subject, max(version) AS version, count(*) AS n FROM registered GROUP BY subject),
+pairs AS (
+  SELECT o.subject, known.version AS old_version, o.version AS new_version FROM offered o JOIN known ON known.subject = o.subject
+  UNION ALL
+  SELECT a.subject, a.version, b.version FROM offered a JOIN offered b ON a.subject = b.subject AND a.ord < b.ord),
+{_rules('backward')}, {REPORTED}, {TEXTS},
+steps AS (
+  SELECT o.subject, -1 AS j, known.version AS last, coalesce(known.n, 0) AS n, false AS accepted, CAST(NULL AS VARCHAR) AS report
+  FROM offered o LEFT JOIN known ON known.subject = o.subject WHERE o.ord = 0
+  UNION ALL
+  SELECT s.subject, s.j + 1, CASE WHEN coalesce(r.compatible, true) THEN 2000000001 + s.j ELSE s.last END,
+         s.n + CASE WHEN coalesce(r.compatible, true) THEN 1 ELSE 0 END, coalesce(r.compatible, true),
+         coalesce(r.report, 'compatible')
+  FROM steps s LEFT JOIN reported r ON r.subject = s.subject AND r.old_version = s.last AND r.new_version = 2000000001 + s.j
+  WHERE s.j < 3)
+SELECT s.subject, s.j AS ord, schema, accepted, CASE WHEN accepted THEN CAST(n AS INTEGER) END AS version, report
+FROM steps s JOIN texts ON texts.subject = s.subject AND texts.version = 2000000000 + s.j
+WHERE s.j >= 0
 """
 
 
@@ -277,10 +352,11 @@ FROM events""",
     "decode_oldest_first": f"WITH {M1} SELECT {DECODED}, 0::BIGINT AS discount_cents FROM m1",
     "decode_newest_first": f"WITH {M1} SELECT {DECODED}, discount_cents FROM m1",
     "decode_enum_segment": f"WITH {M1} SELECT {DECODED}, discount_cents FROM m1 WHERE customer_segment <> 'error'",
-    "bad_only": """
-SELECT 'orders' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset", ts AS timestamp,
-       'malformed' AS reason
-FROM events""",
+    "bad_only": f"""
+WITH {M1}
+SELECT 'orders' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset", event_time AS timestamp,
+       {PAYLOAD_HEX} AS payload, 'malformed' AS reason
+FROM m1""",
     "replay_bad": f"WITH {M1} SELECT {DECODED}, discount_cents FROM m1",
     "synthetic_orders": f"""
 SELECT 'order-' || lpad(CAST(event_id AS VARCHAR), 10, '0') AS order_id,
@@ -338,9 +414,9 @@ WITH v AS (
   SELECT 'nation ' || s_nationkey AS subject, CAST(s_suppkey + 1 AS INTEGER) AS version, s_suppkey AS e,
          CAST(s_nationkey AS BIGINT) AS k
   FROM supplier), {FIELDS} {FIELD_COLUMNS}""",
-    "registry_latest": """
-SELECT CAST(user_id AS VARCHAR) AS subject, CAST(max(event_id) + 1 AS INTEGER) AS version, count(*) AS versions
-FROM events GROUP BY ALL""",
+    "registry_latest": f"""
+WITH {EVENT_VERSIONS}, {FIELDS}, {TEXTS}, ends AS (SELECT subject, max(version) AS version, count(*) AS versions FROM v GROUP BY subject)
+SELECT subject, version, schema, versions FROM ends JOIN texts USING (subject, version)""",
     "registry_subjects": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS subject FROM events",
     "compat_backward": _compat("backward"),
     "compat_forward": _compat("forward"),
@@ -355,6 +431,26 @@ WITH {EVENT_VERSIONS}, {FIELDS},
 pairs AS (SELECT subject, min(version) AS old_version, max(version) AS new_version FROM v GROUP BY subject),
 {_rules('full')}, {REPORTED} FROM reported""",
     "register_gate": GATED,
+    "register_sequence": SEQUENCE,
+    "register_fingerprints": f"""
+WITH {EVENT_VERSIONS}, {FIELDS}, {TEXTS}
+SELECT subject, sha256(canonical) AS fingerprint, min(version) AS version, count(*) AS versions
+FROM texts GROUP BY subject, canonical""",
+    "table_exists": f"WITH {M1}, {DAILY} SELECT *, false AS before, true AS after FROM daily",
+    "stream_ticking": f"WITH {M1} {STREAMED}",
+    "stream_sketch_rollup": f"""
+WITH {M1}
+SELECT customer_segment, date_trunc('day', event_time)::TIMESTAMP AS window_start,
+       (date_trunc('day', event_time) + INTERVAL 1 day)::TIMESTAMP AS window_end,
+       strftime(date_trunc('day', event_time), '%Y-%m-%d-%H') AS date_hour, count(*) AS order_count,
+       CAST(sum(total_cents - discount_cents) AS BIGINT) AS net_cents_sum, max(total_cents - discount_cents) AS net_cents_max,
+       avg(total_cents - discount_cents) AS net_cents_avg, count(DISTINCT order_id) AS order_id_distinct,
+       0.0::DOUBLE AS relative_error
+FROM m1 GROUP BY ALL""",
+    "stream_metrics": f"WITH {M1} {COUNTERS}",
+    "stream_dead_letters_compacted": """
+SELECT CAST(ts AS DATE) AS dt, count(*) AS bad_count, CAST(sum(event_id) AS BIGINT) AS offsets, 1::BIGINT AS files
+FROM events WHERE event_id % 10 = 0 GROUP BY ALL""",
     "stream_dead_letters_daily": """
 SELECT CAST(ts AS DATE) AS dt, count(*) AS bad_count FROM events
 WHERE event_id % 10 = 0 AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-14' GROUP BY ALL""",

@@ -22,7 +22,9 @@ from schemaflow.plans.batch import run_batch, write_both
 from schemaflow.session import scratch_dir, setting
 from schemaflow.sources import generator, registry, tables, topics
 from schemaflow.streaming import aggregate as stream_agg
+from schemaflow.streaming import ledger
 from schemaflow.streaming import sinks as stream_sinks
+from schemaflow.streaming.decoded import store_decoded, stream_decoded
 from schemaflow.streaming.job import StreamPaths, run_stream
 
 TOPIC = "orders"
@@ -227,7 +229,7 @@ def decode_enum_segment(spark, sf):
 
 
 def bad_only(spark, sf):
-    return zoneless(val.bad_only(event_envelopes(spark, sf)).drop("payload"))
+    return hexed(val.bad_only(event_envelopes(spark, sf)))
 
 
 def replay_bad(spark, sf):
@@ -294,6 +296,15 @@ def table_append(spark, sf):
     return zoneless(tables.read_table(spark, name))
 
 
+def table_exists(spark, sf):
+    """The test before and after the first write, beside the rows of the table."""
+    database = _database(spark)
+    before = sinks.table_exists(spark, f"{database}.agg_orders")
+    name = sinks.write_table(daily(spark, sf), database, "agg_orders")
+    tested = {"before": F.lit(before), "after": F.lit(sinks.table_exists(spark, name))}
+    return zoneless(tables.read_table(spark, name).withColumns(tested))
+
+
 def dual_write(spark, sf):
     """The same rows from both places, each marked with its own."""
     database, path = _database(spark), scratch_dir(spark, "dual")
@@ -421,6 +432,21 @@ def stream_window_agg(spark, sf):
     return zoneless(_drained(spark, stream_agg.aggregate_stream(valid, "1 day"), root))
 
 
+def stream_ticking(spark, sf):
+    """The same under a processing-time trigger, stopped once everything was processed."""
+    envelopes = event_envelopes(spark, sf, corrupt=True).unionByName(sentinel(spark))
+    root, stream = _stored_stream(spark, envelopes, "ticking")
+    valid = val.validate(stream, schemas.ORDER_V2, [schemas.ORDER_V1]).valid
+    by_day = stream_agg.aggregate_stream(valid, "1 day")
+    with _state_partitions(spark):
+        query = stream_sinks.write_aggregates(by_day, f"{root}/out", f"{root}/checkpoint", "1 second")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    return zoneless(agg.in_segments(tables.read_aggregates(spark, f"{root}/out"), SENTINEL))
+
+
 def stream_window_agg_exact(spark, sf):
     """Every envelope twice: the order count doubles, the distinct count does not."""
     envelopes = event_envelopes(spark, sf)
@@ -440,6 +466,21 @@ def stream_window_agg_sketch(spark, sf):
     return zoneless(rows.withColumn("close", close).drop("order_id_distinct"))
 
 
+def stream_sketch_rollup(spark, sf):
+    """Hours streamed with mergeable sketches, rolled up to days and segments without the orders."""
+    root, stream = _stored_stream(spark, event_envelopes(spark, sf).unionByName(sentinel(spark)), "rollup")
+    valid = val.validate(stream, schemas.ORDER_V2).valid
+    with _state_partitions(spark):
+        query = stream_sinks.write_aggregates(
+            stream_agg.sketch(valid, "1 hour"), f"{root}/out", f"{root}/checkpoint", available_now=True
+        )
+        query.awaitTermination()
+    hours = agg.in_segments(stream_agg.read_sketches(spark, f"{root}/out"), SENTINEL)
+    rows = stream_agg.estimated(stream_agg.roll_up(hours, "1 day", ["customer_segment"]))
+    off = F.abs(F.col("order_id_distinct") - F.col("order_count")) / F.col("order_count")
+    return zoneless(rows.withColumn("relative_error", F.round(off, 1)))
+
+
 def late_drop(spark, sf):
     """Every seventh order arrives after all others were processed; those whose day has closed are dropped.
 
@@ -496,6 +537,37 @@ def stream_dead_letters_daily(spark, sf):
     return tables.read_dead_letters(spark, paths.bad, *days).groupBy("dt").agg(F.count(F.lit(1)).alias("bad_count"))
 
 
+def _stored_letters(spark, sf, label: str) -> str:
+    """A stream of several micro-batches decoded once, its dead letters, and its counters; the folder they are in."""
+    envelopes = event_envelopes(spark, sf, corrupt=True).repartition(3)
+    root, _ = _stored_stream(spark, envelopes, label)
+    stream = topics.stream_envelopes(spark, f"{root}/in", files_per_trigger=1)
+    tagged = val.validate(stream, schemas.ORDER_V2, [schemas.ORDER_V1]).tagged
+    store_decoded(tagged, f"{root}/rows", f"{root}/decode", available_now=True).awaitTermination()
+    rows = stream_decoded(spark, f"{root}/rows", tagged.schema, files_per_trigger=2)
+    stream_sinks.write_dead_letters(
+        rows, f"{root}/bad", f"{root}/summary", f"{root}/letters", available_now=True, counters_path=f"{root}/counters"
+    ).awaitTermination()
+    return root
+
+
+def stream_metrics(spark, sf):
+    """Counters that a stream stored for each of its micro-batches, added up."""
+    root = _stored_letters(spark, sf, "counted")
+    totals = metrics.stream_totals(metrics.batch_counters(spark, f"{root}/counters"))
+    return totals.select(*metrics.COUNTERS)
+
+
+def stream_dead_letters_compacted(spark, sf):
+    """Dead letters of several micro-batches, closed by day: what each day holds, and in how many files."""
+    root = _stored_letters(spark, sf, "closed")
+    ledger.close_days(spark, f"{root}/bad", schemas.BAD_ROW)
+    letters = tables.read_dead_letters(spark, f"{root}/bad").withColumn("file", F.input_file_name())
+    return letters.groupBy("dt").agg(
+        F.count(F.lit(1)).alias("bad_count"), F.sum("offset").alias("offsets"), F.count_distinct("file").alias("files")
+    )
+
+
 # ---- schema registries -------------------------------------------------------------------------------------------
 
 # The types that derived schemas draw from, and a default for each.
@@ -571,7 +643,7 @@ def registry_scan(spark, sf):
 
 
 def registry_latest(spark, sf):
-    return registration.latest(event_registry(spark, sf)).select("subject", "version", "versions")
+    return registration.latest(event_registry(spark, sf))
 
 
 def registry_subjects(spark, sf):
@@ -617,7 +689,26 @@ def register_gate(spark, sf):
         derived_schema(F.col("c_custkey").cast("bigint"), (F.col("c_nationkey") * 4).cast("bigint")).alias("schema"),
     )
     decided = registration.register(event_registry(spark, sf), candidates, "backward")
-    return decided.select("subject", "accepted", "version", "report")
+    kinds = F.array_join(F.transform("violations", lambda v: v["kind"]), ",").alias("kinds")
+    return decided.select("subject", "schema", "accepted", "version", "report", kinds)
+
+
+def register_sequence(spark, sf):
+    """Four candidates per customer in turn, each against the last one accepted; the third differs from the others."""
+    number = F.col("c_custkey").cast("bigint") + F.when(F.col("ord") == 2, 1).otherwise(0)
+    candidates = table(spark, sf, "customer").withColumn("ord", F.explode(F.sequence(F.lit(0), F.lit(3)))).select(
+        F.col("c_custkey").cast("string").alias("subject"),
+        "ord",
+        derived_schema(number, (F.col("c_nationkey") * 4).cast("bigint")).alias("schema"),
+    )
+    decided = registration.register_sequence(event_registry(spark, sf), candidates, "backward")
+    return decided.select("subject", "ord", "schema", "accepted", "version", "report")
+
+
+def register_fingerprints(spark, sf):
+    """The layouts of every subject by the fingerprint of their canonical form."""
+    found = registration.layouts(event_registry(spark, sf))
+    return found.select("subject", "fingerprint", "version", "versions")
 
 
 REFERRED = ("string", "Color", "q.Size", "p.Part")
@@ -699,6 +790,7 @@ QUERIES = {
         parquet_append_twice,
         pruned_read,
         table_append,
+        table_exists,
         dual_write,
         dead_letter_daily,
         dead_letter_conditional,
@@ -708,12 +800,16 @@ QUERIES = {
         file_audit,
         batch_run_metrics,
         stream_window_agg,
+        stream_ticking,
         stream_window_agg_exact,
         stream_window_agg_sketch,
+        stream_sketch_rollup,
         late_drop,
         stream_job,
         stream_dead_letters,
         stream_dead_letters_daily,
+        stream_metrics,
+        stream_dead_letters_compacted,
         registry_fields,
         registry_scan,
         registry_latest,
@@ -725,6 +821,8 @@ QUERIES = {
         compat_report,
         pair_check,
         register_gate,
+        register_sequence,
+        register_fingerprints,
         compat_references,
         register_invalid,
     )

@@ -1,6 +1,7 @@
 """Schema registries as frames: one row per registered version.
 
-A registry frame has the columns ``subject``, ``version`` and ``schema`` (the JSON text).
+A registry frame has the columns ``subject``, ``version`` and ``schema`` (the JSON text), and may have ``doc``, the struct of
+:func:`schemaflow.functions.schema_docs.schema_doc`, so that checks need not read the texts again.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ def read_registry(spark: SparkSession, root: str) -> DataFrame:
     """Every version of every subject below ``root``; other files are ignored.
 
     Fails if ``root`` is not a directory, and when a text that is no valid schema is read. A version number beyond an int is
-    not a version.
+    not a version. Each text is parsed once, into ``doc``.
     """
     depth = _directory_depth(spark, root)
     files = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
@@ -45,9 +46,9 @@ def read_registry(spark: SparkSession, root: str) -> DataFrame:
         .filter(F.col("version").isNotNull())
     )
     place = F.concat_ws(" version ", F.col("subject"), F.col("version").cast("string"))
-    doc = valid_doc(F.col("doc"), place)
     read = registered.withColumn("doc", schema_doc(F.col("schema")))
-    return read.select("subject", "version", F.when(doc.isNotNull(), F.col("schema")).alias("schema"))
+    read = read.withColumn("doc", valid_doc(F.col("doc"), place))
+    return read.select("subject", "version", F.when(F.col("doc").isNotNull(), F.col("schema")).alias("schema"), "doc")
 
 
 def _decoded(name: Column) -> Column:
@@ -65,7 +66,10 @@ def _directory_depth(spark: SparkSession, root: str) -> int:
 
 
 def store_registry(registry: DataFrame, root: str) -> None:
-    """Append versions below ``root``, one file for each."""
+    """Append versions below ``root`` in the layout that Spark writes, one file for each.
+
+    :func:`schemaflow.operators.registration.publish` keeps the hand-kept layout, and guards it.
+    """
     registry.select("subject", "version", "schema").write.mode("append").partitionBy("subject", "version").text(root)
 
 
