@@ -37,3 +37,8 @@ def structs(columns: dict[str, Iterable], types: dict[str, pa.DataType]) -> pa.S
     """Python lists as one struct array with the given field types."""
     arrays = [pa.array(list(columns[name]), kind) for name, kind in types.items()]
     return pa.StructArray.from_arrays(arrays, fields=[pa.field(n, k) for n, k in types.items()])
+
+
+def nested(df: DataFrame, name: str = "doc") -> Column:
+    """All columns of a frame as one struct, so that columns beside it can have any name; ``<name>.*`` brings them back."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(name)

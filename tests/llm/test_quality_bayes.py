@@ -27,7 +27,28 @@ def test_held_out_accuracy(spark):
     rows = [r for r in bayes.op4_quality_bayes(spark, sf).collect() if r.held_out and r.doc_id in truth]
     good = [r.kept for r in rows if truth[r.doc_id] == 1]
     bad = [r.kept for r in rows if truth[r.doc_id] == 0]
-    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.4 * len(bad)
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.15 * len(bad)
+
+
+def test_columns_of_any_name_stay(spark, documents):
+    names = ("__q", "doc", "host", "path", "buckets", "evidence", "n_words", "verdict", "good")
+    docs = documents([(i, f"plain words number {i}") for i in range(9)])
+    for name in names:
+        docs = docs.withColumn(name, F.lit(name))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    kept = bayes.keep_good(docs, labels, F.lit(False))
+    assert kept.columns == docs.columns and kept.count() > 0
+    assert all(r[name] == name for r in kept.collect() for name in names)
+    judged = bayes.judge(docs, bayes.fit(docs, labels, F.lit(False)))
+    assert sorted(judged.columns) == sorted(docs.columns) and all(r["__q"].score > 0 for r in judged.collect())
+
+
+def test_lexical_evidence_is_the_mean_of_the_buckets(spark, documents):
+    """Texts of one shape: only their words tell them apart."""
+    rows = [(i, f"alpha beta gamma {w} delta") for i, w in enumerate(["fine", "junk"] * 60)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(0, 100)], "doc_id long, quality int")
+    found = {r.doc_id: r["__q"] for r in bayes.judge(documents(rows), bayes.fit(documents(rows), labels, F.lit(False))).collect()}
+    assert all(found[i].kept and not found[i + 1].kept for i in range(100, 120, 2))
 
 
 def sites(spark, hosts):
