@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import os
 import random
 import re
@@ -8,6 +9,7 @@ from collections import Counter
 import pytest
 import zstandard
 from edge_texts import EDGE
+from pyspark.sql import functions as F
 
 from schemaflow.llm import quality_rules as rules
 from schemaflow.llm.common import table
@@ -43,9 +45,12 @@ def verdict(text, bands=rules.Bands()):
     if not bands.least[band] <= ratio(data) <= bands.most[band]:
         return False
     parts = [data[i : i + bands.chunk] for i in range(0, len(data), bands.chunk)]
-    parts = [p for p in parts if len(p) == bands.chunk] if len(data) >= 2 * bands.chunk else []
-    bad = [p for p in parts if not bands.chunk_least <= ratio(p) <= bands.chunk_most]
-    return len(bad) <= bands.chunk_share * len(parts)
+    if len(data) >= bands.chunk and len(parts[-1]) < bands.chunk:
+        parts[-1] = data[-bands.chunk :]
+    parts = [p for p in parts if len(p) == bands.chunk]
+    noise = [p for p in parts if ratio(p) < bands.chunk_least]
+    bad = noise + [p for p in parts if ratio(p) > bands.chunk_most]
+    return len(noise) <= bands.noise_share * len(parts) and len(bad) <= bands.chunk_share * len(parts)
 
 
 def test_query(spark):
@@ -59,8 +64,8 @@ def test_query(spark):
         assert r.kept == verdict(text[r.doc_id])
 
 
-def test_labelled_good_documents_stay(spark):
-    sf = "/root/testdata/sf0.01"
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_labelled_good_documents_stay(spark, sf):
     good = table(spark, sf, "labels").filter("quality = 1").select("doc_id")
     rows = rules.op9_quality_rules(spark, sf).join(good, "doc_id").filter("not base_failed").collect()
     assert all(r.kept for r in rows)
@@ -84,6 +89,49 @@ def test_repetition_and_noise_go():
     assert scorer.measure(noise.encode())[-1] == verdict(noise)
 
 
+def grouped(data, size, group):
+    return " ".join(data[i : i + group] for i in range(0, len(data), group))[:size]
+
+
+def noise_of(kind, size, group, r):
+    raw = r.randbytes(size)
+    return grouped(base64.b64encode(raw).decode() if kind == "base64" else raw.hex(), size, group)
+
+
+def sound_text(spark, size):
+    """Labelled good prose of the tables, joined to so many bytes."""
+    sf = "/root/testdata/sf0.1"
+    good = table(spark, sf, "labels").filter("quality = 1").select("doc_id")
+    rows = table(spark, sf, "documents").filter("lang = 'en'").join(good, "doc_id").orderBy("doc_id").limit(400).collect()
+    return " ".join(r.text for r in rows)[:size]
+
+
+def test_noise_goes(spark):
+    """Alone, in front of prose, behind it, and as its half; base64 from 1 KB, hexadecimal text from 4 KB."""
+    r = random.Random(7)
+    scorer = rules.Scorer(rules.Bands())
+    prose = sound_text(spark, 150_000)
+    for size in (2100, 9000, 20_000, 64_000, 140_000):
+        assert scorer.measure(prose[:size].encode())[-1], size
+    for kind, sizes in (("base64", (1024, 1500, 2048, 4096, 6000, 8192, 16_384, 65_536)), ("hex", (4096, 6000, 8192, 16_384, 65_536))):
+        for size in sizes:
+            for group in (4, 6, 8, 16):
+                noise = noise_of(kind, size, group, r)
+                own = prose[:size]
+                texts = {"alone": noise, "head": noise + " " + own, "tail": own + " " + noise}
+                texts["half"] = own[: size // 2] + " " + noise + " " + own[size // 2 :]
+                for place, text in texts.items():
+                    if place == "half" and kind == "hex" and size < 8192:
+                        continue  # no whole chunk of noise, and no ratio that good texts do not have
+                    assert scorer.measure(text.encode())[-1] is False, (kind, size, group, place)
+
+
+def test_columns_of_any_name_stay(spark, documents):
+    docs = documents([(1, sound_text(spark, 3000)), (2, "short")]).withColumn("__m", F.lit(5)).withColumn("m", F.lit("x"))
+    kept = rules.keep_sound(docs.withColumn("doc", F.lit(1)))
+    assert [(r.doc_id, r["__m"], r.m, r.doc) for r in kept.collect()] == [(1, 5, "x", 1)]
+
+
 def test_edges(spark, documents):
     rows = rules.judge(documents(EDGE)).collect()
     assert len(rows) == len(EDGE)
