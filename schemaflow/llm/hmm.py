@@ -33,8 +33,8 @@ STATES = 8
 PASSES = 3
 COUNTER_WORDS = 300_000
 BLOCK_TOKENS = 400_000
-# A longer text is trained on as several chains of at most so many tokens; scores always run through the whole text.
-TRAINING_CHAIN = 16_384
+# Words of more bytes stay out of the head, which goes to every task.
+HEAD_BYTES = 64
 STAY = 0.95
 
 
@@ -103,7 +103,8 @@ class Alphabet:
 
 
 def make_alphabet(counts: DataFrame, ends: int, head_words: int, tail_classes: int) -> Alphabet:
-    top = counts.filter(F.col("c") >= HEAD_COUNT).orderBy(F.desc("c"), "word").limit(head_words).toArrow()
+    short = F.octet_length("word") <= HEAD_BYTES
+    top = counts.filter((F.col("c") >= HEAD_COUNT) & short).orderBy(F.desc("c"), "word").limit(head_words).toArrow()
     head = {w: i for i, w in enumerate(top.column("word").to_pylist())}
     head_counts = np.array(top.column("c").to_pylist(), dtype=np.int64)
     tail_counts, tail_words = np.zeros(tail_classes, np.int64), np.zeros(tail_classes, np.int64)
@@ -176,47 +177,72 @@ class Model:
     move: np.ndarray  # states x states
     emit: np.ndarray  # classes x states: probability of the class in the state
 
-    def forward(self, chains: list[np.ndarray], keep: bool = False):
-        """log10 likelihood of each chain of classes; with ``keep`` also the scaled forward values and emissions.
+    def advance(self, value: np.ndarray | None, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scaled forward values after one more step of the chains still alive, the step's emissions, and the scales."""
+        seen = self.emit[classes]
+        value = (self.start if value is None else value[: len(classes)] @ self.move) * seen
+        scale = value.sum(axis=1)
+        value /= scale[:, None]
+        return value, seen, scale
 
-        ``chains`` come longest first, so the chains alive at a step are a prefix.
-        """
+    def forward(self, chains: list[np.ndarray]) -> np.ndarray:
+        """log10 likelihood of each chain of classes, longest first, so that the chains alive at a step are a prefix."""
         total = np.zeros(len(chains))
         grid, alive = stepwise(chains)
-        values, weights, at, value = [], [], 0, None
+        at, value = 0, None
         for n in alive:
-            seen = self.emit[grid[at : at + n]]
+            value, _, scale = self.advance(value, grid[at : at + n])
             at += n
-            value = (self.start if value is None else value[:n] @ self.move) * seen
-            scale = value.sum(axis=1)
-            value /= scale[:, None]
             total[:n] += np.log10(scale)
-            if keep:
-                values.append(value)
-                weights.append(seen / scale[:, None])
-        return (total, grid, alive, values, weights) if keep else total
+        return total
 
     def expect(self, chains: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
-        """Add the expected counts of these chains, longest first."""
-        _, grid, alive, values, weights = self.forward(chains, keep=True)
+        """Add the expected counts of these chains, longest first.
+
+        Forward values are held for a stretch of steps at a time, from the last to the first; what a stretch begins with is known from
+        one more forward run, and the backward message passes from stretch to stretch. So a chain of any length is one chain.
+        """
+        grid, alive = stepwise(chains)
+        ends = np.cumsum(alive)
+        begins = ends - alive
+        stretch = np.flatnonzero(np.diff(begins // BLOCK_TOKENS, prepend=-1))
+        firsts, value = [None], None
+        for first, last in zip(stretch, stretch[1:]):
+            for step in range(first, last):
+                value = self.advance(value, grid[begins[step] : ends[step]])[0]
+            firsts.append(value)
+        later, ahead = np.ones((0, len(self.start))), None
+        for first, last, value in zip(stretch[::-1], [len(alive), *stretch[:0:-1]], reversed(firsts)):
+            later, ahead = self.backward(grid, begins, ends, range(first, last), value, later, ahead, (start, move, emit))
+
+    def backward(self, grid, begins, ends, steps: range, value, later, ahead, counts: tuple):
+        """Expected counts of a stretch of steps; takes and returns the backward values and emissions of the step behind."""
+        start, move, emit = counts
         states = len(self.start)
-        shares = np.empty((len(grid), states))
-        at, later, ahead = len(grid), np.ones((0, states)), None
-        for step in range(len(alive) - 1, -1, -1):
-            n = alive[step]
-            at -= n
-            back = np.ones((n, states))
+        values, weights = [], []
+        for step in steps:
+            value, seen, scale = self.advance(value, grid[begins[step] : ends[step]])
+            values.append(value)
+            weights.append(seen / scale[:, None])
+        base = begins[steps[0]]
+        shares = np.empty((ends[steps[-1]] - base, states))
+        for step in reversed(steps):
+            own = values[step - steps[0]]
+            back = np.ones((len(own), states))
             if ahead is not None:
                 onward = ahead * later
                 back[: len(later)] = onward @ self.move.T
-                move += values[step][: len(later)].T @ onward
-            share = values[step] * back
+                move += own[: len(later)].T @ onward
+            share = own * back
             share /= share.sum(axis=1, keepdims=True)
-            shares[at : at + n] = share
-            later, ahead = back, weights[step]
-        start += shares[: alive[0]].sum(axis=0)
+            shares[begins[step] - base : ends[step] - base] = share
+            later, ahead = back, weights[step - steps[0]]
+        if steps[0] == 0:
+            start += shares[: ends[0]].sum(axis=0)
+        part = grid[base : ends[steps[-1]]]
         for state in range(states):
-            emit[:, state] += np.bincount(grid, weights=shares[:, state], minlength=len(emit))
+            emit[:, state] += np.bincount(part, weights=shares[:, state], minlength=len(emit))
+        return later, ahead
 
 
 def stepwise(chains: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
@@ -291,9 +317,7 @@ def expected(model: Model, kind: type) -> Callable:
         every = np.zeros((width + states + 1, states))
         onward = np.zeros((states, states))
         for batch in batches:
-            chains = []
-            for chain in chains_of(batch.column(0), kind):
-                chains += [chain[i : i + TRAINING_CHAIN] for i in range(0, len(chain), TRAINING_CHAIN)]
+            chains = chains_of(batch.column(0), kind)
             for block in blocks(chains):
                 model.expect([chains[i] for i in block], every[-1], onward, every[:width])
         every[width : width + states] = onward * model.move

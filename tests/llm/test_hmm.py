@@ -57,6 +57,32 @@ def test_expected_counts_are_those_of_all_paths():
     assert np.allclose(start, want_start) and np.allclose(move, want_move) and np.allclose(emit, want_emit)
 
 
+@pytest.mark.parametrize("tokens", [1, 7, 50])
+def test_long_chains_are_not_cut(monkeypatch, tokens):
+    """Stretches of few steps give the counts of one stretch."""
+    rng = np.random.default_rng(3)
+    model = random_model(rng, 3, 5)
+    chains = [rng.integers(0, 5, n) for n in (60, 60, 41, 9, 1)]
+
+    def counts():
+        out = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
+        model.expect(chains, *out)
+        return out
+
+    whole = counts()
+    assert np.isclose(whole[2].sum(), sum(map(len, chains))) and np.isclose((whole[1] * model.move).sum(), sum(len(c) - 1 for c in chains))
+    monkeypatch.setattr(hmm, "BLOCK_TOKENS", tokens)
+    for a, b in zip(whole, counts()):
+        assert np.allclose(a, b)
+
+
+def test_long_words_stay_out_of_the_head(spark, documents):
+    docs = documents([(1, "data:" + "x" * 500), (2, "data:" + "x" * 500 + " short short"), (3, "short")])
+    counts = hmm.word_counts(docs.select(F.col("text").cast("binary").alias("text")))
+    alphabet = hmm.make_alphabet(counts, 3, 10, 4)
+    assert set(alphabet.head) == {b"short"} and alphabet.tokens == 8 and alphabet.types == 3
+
+
 def base_scores(texts, is_held):
     words = [(t or "").encode().lower().split() for t in texts]
     counts = Counter(w for ws, h in zip(words, is_held) if not h for w in ws)
