@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from schemaflow.llm.common import stored, table, utf8
+from schemaflow.llm.common import nested, stored, table, utf8
 from schemaflow.llm.tokens import document_ids
 
 CAPACITY = 1024
@@ -146,38 +146,36 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The rows with sequence_id and offset added; ``length`` (1 to ``capacity``) is the only column that is read.
 
     Full pieces are sequences of their own. The others are ranked within their length: by scan task first, so that a length
-    of very many pieces is ranked in many tasks. Equal rows each get a place. No rows give no rows.
+    of very many pieces is ranked in many tasks. Equal rows each get a place. Input columns called sequence_id and offset are
+    replaced, all others stay, whatever their names. No rows give no rows.
     """
     spark = rows.sparkSession
+    rows = rows.drop("sequence_id", "offset")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    held = stored(
-        rows.withColumn("__row", F.monotonically_increasing_id()).withColumn(
-            "__bucket", F.pmod(F.spark_partition_id(), F.lit(buckets))
-        ),
-        "pack-pieces",
+    numbered = rows.select(
+        nested(rows),
+        F.col("length").alias("length"),
+        F.monotonically_increasing_id().alias("row"),
+        F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("bucket"),
     )
+    held = stored(numbered, "pack-pieces")
     short = held.filter(F.col("length") < capacity)
-    counts = short.groupBy("length", "__bucket").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "length", "__bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before")
-    )
+    counts = short.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("length", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     found = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()
     plan = make_plan({r["length"]: r["n"] for r in found}, capacity)
-    own = Window.partitionBy("length", "__bucket").orderBy("__row")
-    ranked = short.withColumn("__rank", F.row_number().over(own) - 1).join(offsets, ["length", "__bucket"])
+    own = Window.partitionBy("length", "bucket").orderBy("row")
+    ranked = short.withColumn("rank", F.row_number().over(own) - 1).join(offsets, ["length", "bucket"])
 
     @F.arrow_udf("struct<sequence_id: long, offset: long>")
     def place(length: pa.Array, rank: pa.Array) -> pa.Array:
         sequence, offset = plan.place(length.to_numpy(), rank.to_numpy())
         return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], names=["sequence_id", "offset"])
 
-    names = rows.columns
-    placed = ranked.withColumn("__at", place("length", F.col("__before") + F.col("__rank"))).select(
-        *names, F.col("__at.sequence_id").alias("sequence_id"), F.col("__at.offset").alias("offset")
-    )
+    placed = ranked.withColumn("at", place("length", F.col("before") + F.col("rank"))).select("doc.*", "at.*")
     full = held.filter(F.col("length") == capacity).select(
-        *names, (F.lit(plan.sequences) + F.col("__row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        "doc.*", (F.lit(plan.sequences) + F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     return placed.unionByName(full)
 
@@ -187,4 +185,6 @@ def digests(rows: DataFrame) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(digests(pieces(table(spark, sf_dir, "documents"))))
+    packed = pack(pieces(table(spark, sf_dir, "documents")))
+    digest = F.crc32("ids").alias("ids_crc32")
+    return packed.select("doc_id", "piece", "start", "length", digest, "sequence_id", "offset")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from edge_texts import EDGE
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from schemaflow.llm import packing
@@ -99,3 +100,15 @@ def test_the_fast_encoder_agrees_with_the_tokenizer():
         text = "".join(r.choice("abcé ñ'\n\t1<|>\xa0 日\x85Ā¿’") for _ in range(r.randint(0, 60)))
         want = tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encode(text.encode()), "<u4").tolist() == want, text
+
+
+def test_columns_of_any_name_stay(spark, documents):
+    rows = packing.pieces(documents([(i, "some words " * i) for i in range(20)]))
+    for name in ("offset", "sequence_id", "row", "rank", "bucket", "doc", "at", "before", "__row"):
+        rows = rows.withColumn(name, F.lit("own"))
+    packed = packing.pack(rows)
+    assert sorted(packed.columns) == sorted(rows.columns)
+    for r in packed.collect():
+        assert r["row"] == r["rank"] == r["bucket"] == r["doc"] == r["at"] == r["before"] == r["__row"] == "own"
+        assert isinstance(r.offset, int) and isinstance(r.sequence_id, int) and len(r.ids) == 4 * r.length
+    check_layout(packed.collect(), 1024)
