@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaflow.llm.common import stored, structs, table, utf8
+from schemaflow.llm.common import nested, stored, structs, table, utf8
 from schemaflow.llm.components import components
 from schemaflow.llm.shingles import Shingler, common, mixed
 
@@ -270,23 +270,17 @@ def remaining(mates: DataFrame, keys: DataFrame, centers: DataFrame, labels: Dat
 
 
 def profiled(docs: DataFrame, text: str, percent: int) -> DataFrame:
-    """The rows of ``docs`` stored with all their columns, a number, and the profile of their text."""
-    found = docs.withColumn("__p", profile(utf8(text), band_count(percent))).withColumn("__row", F.monotonically_increasing_id())
+    """The rows of ``docs`` stored as one struct, with a number and the profile of their text."""
+    found = docs.select(nested(docs), profile(utf8(text), band_count(percent)).alias("p"))
+    found = found.withColumn("row", F.monotonically_increasing_id())
     names = ("n", "high", "low", "bands")
-    return stored(found.select(*docs.columns, "__row", *(F.col(f"__p.{n}").alias(f"__{n}") for n in names)), "near-rows")
+    return stored(found.select("doc", "row", *(F.col(f"p.{n}").alias(n) for n in names)), "near-rows")
 
 
 def grouped(rows: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     """row, doc_id, n_shingles, component_id and first of every profiled row."""
-    rows = rows.select(
-        F.col("__row").alias("row"),
-        F.col(doc_id).alias("doc_id"),
-        F.col("__n").alias("n"),
-        F.col("__high").alias("high"),
-        F.col("__low").alias("low"),
-        F.col("__bands").alias("bands"),
-        utf8(text).alias("text"),
-    )
+    own = F.col(f"doc.`{doc_id}`").alias("doc_id")
+    rows = rows.select("row", own, "n", "high", "low", "bands", utf8(f"doc.`{text}`").alias("text"))
     filled = rows.filter("n > 0")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     classes = stored(
@@ -321,10 +315,14 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """One row of each near-duplicate group, with all its columns: the one of the smallest id."""
+    """One row of each near-duplicate group, with all its columns, whatever their names: the one of the smallest id.
+
+    Null and empty texts and those without words are groups of their own and stay. Null ids come last, and of equal ids the row read
+    first stays, so of repeated rows one does. No rows give no rows.
+    """
     rows = profiled(docs, text, percent)
-    first = grouped(rows, doc_id, text, percent).filter("first").select(F.col("row").alias("__row"))
-    return rows.join(first, "__row", "left_semi").select(*docs.columns)
+    first = grouped(rows, doc_id, text, percent).filter("first").select("row")
+    return rows.join(first, "row", "left_semi").select("doc.*")
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

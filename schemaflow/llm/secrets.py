@@ -145,7 +145,8 @@ def scan_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def redact(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
     """The same rows and columns with every secret of ``text`` replaced by its kind in brackets, and ``length`` (its number
-    of characters) renewed. Rows without secrets, null texts and all other columns stay as they are.
+    of characters) renewed. Rows without secrets, null and empty texts, repeated rows and all other columns stay as they are.
+    No rows give no rows.
     """
 
     @F.arrow_udf("string")

@@ -145,6 +145,18 @@ def shard_of(key: Column, lone: list[int], cuts: list[int]) -> Column:
     return place.cast("int")
 
 
+def key_of(body: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(body), 1)
+
+
+def bounds(rows: DataFrame, shards: int) -> tuple[list[int], list[int]]:
+    """Groups with a shard of their own, and the cuts between the others, from rows (key, size)."""
+    groups = stored(rows.groupBy("key").agg(F.sum("size").alias("size")), "shard-groups")
+    lone = lone_groups(groups, shards)
+    rest = groups.filter(~F.col("key").isin(lone)) if lone else groups
+    return lone, find_cuts(rest, shards - len(lone))
+
+
 def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 8) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every row.
 
@@ -158,16 +170,12 @@ def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: i
             F.col(doc_id).alias("doc_id"),
             (F.octet_length(body) + 1).cast("long").alias("size"),
             F.crc32(body.cast("binary")).alias("text_crc32"),
-            F.shiftrightunsigned(F.xxhash64(body), 1).alias("key"),
+            key_of(body).alias("key"),
             F.spark_partition_id().alias("part"),
         ),
         "shard-rows",
     )
-    groups = stored(rows.groupBy("key").agg(F.sum("size").alias("size")), "shard-groups")
-    lone = lone_groups(groups, shards)
-    rest = groups.filter(~F.col("key").isin(lone)) if lone else groups
-    cuts = find_cuts(rest, shards - len(lone))
-    placed = rows.withColumn("shard", shard_of(F.col("key"), lone, cuts))
+    placed = rows.withColumn("shard", shard_of(F.col("key"), *bounds(rows, shards)))
     counts = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
@@ -178,6 +186,18 @@ def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: i
     )
 
 
+def write_shards(docs: DataFrame, path: str, text: str = "text", shards: int = 8) -> None:
+    """The rows of ``docs`` with all their columns as Parquet below ``path/shard=<n>``, in the shards that :func:`shard` gives.
+
+    A row's shard follows from its text alone, so once the cuts are known the texts are written where they were read, without a
+    shuffle. Null texts count as empty; an input column called shard is replaced. No rows write no files.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    size = (F.octet_length(body) + 1).cast("long").alias("size")
+    lone, cuts = bounds(docs.select(key_of(body).alias("key"), size), shards)
+    docs.withColumn("shard", shard_of(key_of(body), lone, cuts)).write.partitionBy("shard").parquet(path)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard(table(spark, sf_dir, "documents"), shards=8)
     return placed.select(

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from edge_texts import EDGE
+from pyspark.sql import functions as F
 
 from schemaflow.llm import minhash
 from schemaflow.llm.common import table
@@ -110,3 +111,14 @@ def test_components(spark, seed):
     want = roots(n, pairs)
     named = {x for a, b in pairs if a != b for x in (a, b)}
     assert {x.node: x.label for x in rows} == {x: want[x] for x in named} and len(rows) == len(named)
+
+
+def test_columns_of_any_name_stay(spark, documents):
+    docs = documents([(i, "one text of a few words here") for i in range(3)] + [(9, None)])
+    names = ("__n", "__row", "__high", "__low", "__bands", "row", "n", "bands", "doc", "first", "p")
+    for name in names:
+        docs = docs.withColumn(name, F.lit(name))
+    kept = minhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 9]
+    assert all(r[name] == name for r in kept.collect() for name in names)

@@ -6,7 +6,7 @@ from collections import Counter
 
 import corpus_pipeline
 from pyspark.sql import functions as F
-from test_minhash import brute as near_brute
+from test_near_limit import brute as near_brute
 from test_packing import compare as packing_compare
 from test_quality_rules import verdict
 from test_secrets import brute as secret_brute
@@ -36,8 +36,10 @@ def test_stages(spark):
     kept = {r.doc_id for r in quality_bayes.judge(frame, fitted).filter("__q.kept").collect()}
     assert after == {i: before[i] for i in kept}
     (_, before, after) = seen[2]
-    groups = near_brute([(i, r.text) for i, r in sorted(before.items())])
-    assert after == {i: before[i] for i, _, first in groups if i == first}
+    rows = sorted(before.items())
+    roots = near_brute([r.text for _, r in rows], corpus_pipeline.NEAR_PERCENT)
+    assert corpus_pipeline.NEAR_PERCENT == 80
+    assert after == {i: r for at, (i, r) in enumerate(rows) if roots[at] == at}
     (_, before, after) = seen[3]
     assert after.keys() == before.keys()
     for i, r in after.items():

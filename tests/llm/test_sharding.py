@@ -88,3 +88,13 @@ def test_edges(spark, documents):
     check(rows, EDGE, 8)
     assert {r.size for r in rows if r.doc_id in (1, 2)} == {1}
     assert sharding.shard(documents([])).collect() == []
+
+
+def test_written_shards_hold_the_rows_of_theirs(spark, documents, tmp_path):
+    docs = documents([*EDGE, *((i, f"text number {i} " * (i % 7)) for i in range(20, 200))])
+    path = str(tmp_path / "shards")
+    sharding.write_shards(docs, path, shards=4)
+    back = spark.read.parquet(path)
+    assert sorted(back.columns) == sorted(docs.columns) and back.count() == docs.count()
+    want = sorted((r.doc_id or -1, r.size, r.shard) for r in sharding.shard(docs, shards=4).collect())
+    assert sorted((r.doc_id or -1, len((r.text or "").encode()) + 1, r.shard) for r in back.collect()) == want
