@@ -18,7 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to the shared folder and read back: later passes and lost executors start from there."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    # These tables stay until the application ends, so they are kept small.
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
