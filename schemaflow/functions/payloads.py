@@ -32,7 +32,24 @@ def decode_payload(payload: Column, reader: str, writers: list[str]) -> Column:
     Only the payload crosses to Python; the position columns stay in the JVM and are pruned from the scan where nobody
     reads them.
     """
-    return _arrow_udf(avro_decode.decode_batches, avro_decode.DECODED_TYPE, reader, writers)(payload)
+    return _arrow_udf(avro_decode.decode_batches, avro_decode.decoded_type(reader), reader, writers)(payload)
+
+
+def java_text(value: Column, kind: str) -> Column:
+    """A decoded value of a reader's type as the text that Java prints for it."""
+    if kind == "fixed":
+        byte = F.transform(
+            F.sequence(F.lit(1), F.greatest(F.octet_length(value), F.lit(1))),
+            lambda i: F.conv(F.hex(F.substring(value, i, F.lit(1))), 16, 10).cast("int"),
+        )
+        signed = F.transform(byte, lambda b: F.when(b > 127, b - 256).otherwise(b).cast("string"))
+        listed = F.when(F.octet_length(value) == 0, "").otherwise(F.array_join(signed, ", "))
+        return F.when(value.isNotNull(), F.concat(F.lit("["), listed, F.lit("]")))
+    if kind == "bytes":
+        size = F.octet_length(value)
+        return F.when(value.isNotNull(), F.format_string("java.nio.HeapByteBuffer[pos=0 lim=%1$d cap=%1$d]", size))
+    # Numbers and booleans are printed by Java itself, text stays.
+    return value.cast("string")
 
 
 def encode_record(schema_json: str, values: dict[str, Column]) -> Column:

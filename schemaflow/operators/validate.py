@@ -10,9 +10,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemaflow.functions.avro_decode import check_reader
+from schemaflow.functions.avro_decode import check_reader, text_kinds
 from schemaflow.functions.columns import millis_to_time
-from schemaflow.functions.payloads import decode_payload
+from schemaflow.functions.payloads import decode_payload, java_text
 from schemaflow.schemas import BAD_ROW, ENVELOPE_COLUMNS, ORDER_ROW
 from schemaflow.session import scratch
 
@@ -36,7 +36,9 @@ def envelope(df: DataFrame) -> DataFrame:
 def tag(df: DataFrame, reader: str, writers: list[str] = (), order: str = "oldest_first") -> DataFrame:
     """One wide row per payload: ``valid``, the order fields or the position and payload, and the failure.
 
-    The half that does not apply is null, so a cached tagged frame holds the payload bytes of bad rows only.
+    The half that does not apply is null, so a cached tagged frame holds the payload bytes of bad rows only. Where the reader gives
+    a text column another type, numbers, booleans, enums, fixed and bytes become the text that Java prints for them; records,
+    lists and maps are refused.
     """
     if order not in ("oldest_first", "newest_first"):
         raise ValueError(f"unknown candidate order: {order}")
@@ -46,7 +48,8 @@ def tag(df: DataFrame, reader: str, writers: list[str] = (), order: str = "oldes
     good = F.col("_row.valid")
     return decoded.select(
         good.alias("valid"),
-        *[F.col(f"_row.{n}").alias(n) for n in ("order_id", "customer_id", "customer_segment", "total_cents")],
+        *[java_text(F.col(f"_row.{n}"), kind).alias(n) for n, kind in text_kinds(reader).items()],
+        F.col("_row.total_cents").alias("total_cents"),
         millis_to_time(F.col("_row.event_millis")).alias("event_time"),
         F.col("_row.discount_cents").alias("discount_cents"),
         *[F.when(~good, F.col(n)).alias(n) for n in ("topic", "partition", "offset", "timestamp")],

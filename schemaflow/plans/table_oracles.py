@@ -352,6 +352,12 @@ FROM events""",
     "decode_oldest_first": f"WITH {M1} SELECT {DECODED}, 0::BIGINT AS discount_cents FROM m1",
     "decode_newest_first": f"WITH {M1} SELECT {DECODED}, discount_cents FROM m1",
     "decode_enum_segment": f"WITH {M1} SELECT {DECODED}, discount_cents FROM m1 WHERE customer_segment <> 'error'",
+    "decode_text_types": f"""
+WITH {M1}, digits AS (SELECT *, CAST(event_id + 1 AS VARCHAR) AS whole, rtrim(CAST(event_id + 1 AS VARCHAR), '0') AS kept FROM m1)
+SELECT order_id, CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END AS customer_id,
+       kept[1] || '.' || CASE WHEN length(kept) > 1 THEN kept[2:] ELSE '0' END || 'E' || (length(whole) + 8) AS customer_segment,
+       total_cents, date_trunc('millisecond', event_time)::TIMESTAMP AS event_time, discount_cents
+FROM digits""",
     "bad_only": f"""
 WITH {M1}
 SELECT 'orders' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset", event_time AS timestamp,
@@ -382,7 +388,9 @@ SELECT count(*) AS bad_count, 'empty payload' AS sample_reason FROM events WHERE
     "dedup_latest": CORRECTED,
     "dynamic_overwrite": CORRECTED,
     "file_audit": f"""
-WITH {M1}, {DAILY} SELECT DISTINCT date_hour, customer_segment, true AS filled, true AS any_files FROM daily""",
+WITH {M1}, {DAILY}
+SELECT DISTINCT date_hour, customer_segment, 0::BIGINT AS file_difference, 0::BIGINT AS byte_difference, true AS mean_is_whole
+FROM daily""",
     "batch_run_metrics": f"""
 WITH {M1}, rows AS ({_metrics('m1', 'day', 'event_id % 10 <> 0')}), counters AS ({COUNTERS})
 SELECT count(*) AS aggregate_rows, CAST(sum(order_count) AS BIGINT) AS aggregated_orders,
@@ -426,6 +434,10 @@ WITH {EVENT_VERSIONS}, {FOLLOWING}
 SELECT subject, old_version, new_version, true AS compatible, 'compatible' AS report, 0 AS status FROM pairs""",
     "compat_report": f"""
 WITH {EVENT_VERSIONS}, {FIELDS}, {FOLLOWING}, {_rules('backward')}, {REPORTED} FROM reported""",
+    "compat_levels": " UNION ALL ".join(
+        f"SELECT '{level}' AS level, count(*) AS violations FROM ({_compat(level)})" for level in ("backward", "forward", "full")
+    )
+    + " UNION ALL SELECT 'none', 0",
     "pair_check": f"""
 WITH {EVENT_VERSIONS}, {FIELDS},
 pairs AS (SELECT subject, min(version) AS old_version, max(version) AS new_version FROM v GROUP BY subject),

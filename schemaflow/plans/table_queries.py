@@ -7,6 +7,7 @@ total and the ``k`` property the discount.
 from __future__ import annotations
 
 import datetime
+import functools
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -228,6 +229,24 @@ def decode_enum_segment(spark, sf):
     return zoneless(val.validate(as_envelopes(orders, numbered), named).valid)
 
 
+def decode_text_types(spark, sf):
+    """Orders whose texts are a long, a boolean and a double with an exponent, read as text."""
+    fields = json.loads(schemas.ORDER_V2)["fields"]
+    kinds = {"order_id": "long", "customer_id": "boolean", "customer_segment": "double"}
+    typed = schemas.order_schema([{**f, "type": kinds.get(f["name"], f["type"])} for f in fields])
+    orders = event_orders(spark, sf).withColumns(
+        {
+            "order_id": F.col("order_id").cast("bigint"),
+            "customer_segment": (F.col("order_id").cast("bigint") + 1) * F.lit(1e9),
+        }
+    )
+    envelopes = topics.to_envelopes(
+        orders.withColumn("customer_id", F.col("customer_id").cast("bigint") % 2 == 0),
+        TOPIC, F.lit(0), F.col("order_id"), F.col("event_time"), encode_orders(typed),
+    )
+    return zoneless(val.validate(envelopes, typed).valid)
+
+
 def bad_only(spark, sf):
     return hexed(val.bad_only(event_envelopes(spark, sf)))
 
@@ -350,7 +369,7 @@ def dynamic_overwrite(spark, sf):
 
 
 def file_audit(spark, sf):
-    """Directories with files in them, from the listing of an output."""
+    """Directories with files in them, from the listing of an output, and how far it is from what the rows say of their files."""
     path = scratch_dir(spark, "audit")
     sinks.write_aggregates(daily(spark, sf), path)
     place = r"date_hour=([^/]+)/customer_segment=([^/]+)/"
@@ -359,10 +378,23 @@ def file_audit(spark, sf):
         F.regexp_extract("file_path", place, 1).alias("date_hour"),
         F.regexp_extract("file_path", place, 2).alias("customer_segment"),
     )
-    totals = sinks.audit_totals(files).select((F.col("parquet_files") > 0).alias("any_files"))
-    found = by_place.agg((F.min("file_bytes") > 0).alias("filled"))
+    held = tables.read_aggregates(spark, path).select(
+        "date_hour", "customer_segment", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
+    )
+    held = held.distinct().groupBy("date_hour", "customer_segment")
+    held = held.agg(F.count(F.lit(1)).alias("held_files"), F.sum("size").alias("held_bytes"))
+    found = by_place.agg(F.count(F.lit(1)).alias("files"), F.sum("file_bytes").alias("bytes"))
+    totals = sinks.audit_totals(files)
+    rest = totals["parquet_bytes"] - totals["parquet_files"] * totals["mean_parquet_bytes"]
+    mean = totals.select(rest.between(F.lit(0), totals["parquet_files"] - 1).alias("mean_is_whole"))
     # The totals are one row.
-    return found.join(F.broadcast(totals), F.lit(True))
+    return found.join(held, ["date_hour", "customer_segment"], "full").join(F.broadcast(mean), F.lit(True)).select(
+        "date_hour",
+        "customer_segment",
+        (F.col("files") - F.col("held_files")).alias("file_difference"),
+        (F.col("bytes") - F.col("held_bytes")).alias("byte_difference"),
+        "mean_is_whole",
+    )
 
 
 def batch_run_metrics(spark, sf):
@@ -674,6 +706,19 @@ def compat_report(spark, sf):
     return compat.reports(_checked(spark, sf, "backward"))
 
 
+LEVEL_NAMES = ("BACKWARD", "Forward", "fuLL", "None")
+
+
+def compat_levels(spark, sf):
+    """Violations at every level, which are named in any case."""
+    rows = []
+    for name in LEVEL_NAMES:
+        level = compat.parse_level(name)
+        found = compat.violation_rows(_checked(spark, sf, name), level)
+        rows.append(found.agg(F.lit(level).alias("level"), F.count(F.lit(1)).alias("violations")))
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
 def pair_check(spark, sf):
     """The first version of every subject against its last."""
     known = event_registry(spark, sf)
@@ -783,6 +828,7 @@ QUERIES = {
         decode_oldest_first,
         decode_newest_first,
         decode_enum_segment,
+        decode_text_types,
         bad_only,
         replay_bad,
         synthetic_orders,
@@ -819,6 +865,7 @@ QUERIES = {
         compat_full,
         compat_none,
         compat_report,
+        compat_levels,
         pair_check,
         register_gate,
         register_sequence,

@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 
 from schemaflow.functions.avro_decode import OrderDecoder, check_reader
 from schemaflow.functions.avro_encode import encode_batch, flat_fields
+from schemaflow.operators.validate import validate
 from schemaflow.schemas import ORDER_V1, ORDER_V2, ORDER_V3
 
 
@@ -86,10 +87,58 @@ def test_reader_must_provide_the_columns():
     with pytest.raises(ValueError, match="total_cents"):
         check_reader(ORDER_V3)
     with pytest.raises(ValueError, match="type"):
-        check_reader(field(ORDER_V2, "order_id", type="long"))
+        check_reader(field(ORDER_V2, "order_id", type={"type": "array", "items": "long"}))
+    check_reader(field(ORDER_V2, "order_id", type="long"))
     check_reader(ORDER_V1)
 
 
+FIXED = {"type": "fixed", "name": "F", "size": 3}
+TEXTS = [
+    ("long", "01", "-1"),
+    ("int", "00", "0"),
+    ("boolean", "01", "true"),
+    ("boolean", "00", "false"),
+    ("boolean", "02", "false"),
+    ("double", np.float64(1e10).tobytes().hex(), "1.0E10"),
+    ("double", np.float64(-0.0).tobytes().hex(), "-0.0"),
+    ("double", np.float64("nan").tobytes().hex(), "NaN"),
+    ("double", np.float64("-inf").tobytes().hex(), "-Infinity"),
+    ("double", np.float64(1234567.25).tobytes().hex(), "1234567.25"),
+    ("double", np.float64(0.0005).tobytes().hex(), "5.0E-4"),
+    ("float", np.float32(0.1).tobytes().hex(), "0.1"),
+    ("float", np.float32(16777216).tobytes().hex(), "1.6777216E7"),
+    (FIXED, "0080ff", "[0, -128, -1]"),
+    ({"type": "fixed", "name": "F", "size": 0}, "", "[]"),
+    ("bytes", "06616263", "java.nio.HeapByteBuffer[pos=0 lim=3 cap=3]"),
+    (["null", "long"], "0204", "2"),
+    (["null", FIXED], "00", None),
+]
+
+
+def test_text_of_other_types(spark):
+    """Each value as the customer of an order, with a payload that ends too early beside it."""
+    for kind, raw, want in TEXTS:
+        reader = field(ORDER_V1, "customer_id", type=kind)
+        good = bytes.fromhex("046f31" + raw + "0253d00f00")
+        rows = [("t", 0, 0, None, good), ("t", 0, 1, None, bytes.fromhex("046f31")), ("t", 0, 2, None, None)]
+        frame = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp timestamp, value binary")
+        split = validate(frame, reader)
+        assert [r["customer_id"] for r in split.valid.collect()] == [want], (kind, raw)
+        assert split.bad.count() == 2
+
+
+def test_text_defaults_and_promotions():
+    """A column that the writer lacks, and an int that the reader wants as a double."""
+    lacking = json.loads(ORDER_V1)
+    lacking["fields"] = [f for f in lacking["fields"] if f["name"] != "customer_id"]
+    short = bytes.fromhex("046f310253d00f00")
+    for kind, default, want in (("long", 5, 5), ("double", 2.5, 2.5), ("boolean", True, True), (FIXED, "a\u00ff\u0000", b"a\xff\0")):
+        reader = field(ORDER_V1, "customer_id", type=kind, default=default)
+        assert one(short, reader, json.dumps(lacking))["customer_id"] == want
+    reader = field(ORDER_V1, "customer_id", type="double")
+    assert one(bytes.fromhex("046f31060253d00f00"), reader, field(ORDER_V1, "customer_id", type="int"))["customer_id"] == 3.0
+
+
 def test_int_is_promoted_to_long():
     writer = field(ORDER_V1, "total_cents", type="int")
     assert one(P1, ORDER_V1, writer)["total_cents"] == 1000
