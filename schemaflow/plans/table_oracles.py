@@ -342,6 +342,10 @@ SELECT 'orders' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id
        true AS no_key
 FROM events
 WHERE CASE user_id % 4 WHEN 2 THEN event_id >= 100 WHEN 3 THEN event_id < 5000 ELSE true END""",
+    "topic_snapshot": f"""
+WITH {M1} SELECT {DECODED}, discount_cents FROM m1
+WHERE CASE user_id % 4 WHEN 1 THEN false WHEN 2 THEN event_id >= 100 WHEN 3 THEN event_id < 5000 ELSE true END""",
+    "stream_topic_resume": f"WITH {M1} SELECT {DECODED}, discount_cents FROM m1",
     "split_valid": f"WITH {M1} SELECT {DECODED}, discount_cents FROM m1 WHERE event_id % 10 <> 0",
     "split_bad": f"WITH {M1} {BAD}",
     "split_counts": """

@@ -21,7 +21,7 @@ from schemaflow.operators import compat, dedup, metrics, registration, sinks
 from schemaflow.operators import validate as val
 from schemaflow.plans.batch import run_batch, write_both
 from schemaflow.session import scratch_dir, setting
-from schemaflow.sources import generator, registry, tables, topics
+from schemaflow.sources import generator, registry, tables, topic_log, topics
 from schemaflow.streaming import aggregate as stream_agg
 from schemaflow.streaming import ledger
 from schemaflow.streaming import sinks as stream_sinks
@@ -175,6 +175,24 @@ def envelope_offset_range(spark, sf):
     return zoneless(keyed.select("topic", "partition", "offset", "timestamp", F.col("key").isNull().alias("no_key")))
 
 
+def _halves(spark, sf) -> list[DataFrame]:
+    """All events as envelopes, in two appends: offsets up to the middle one, and beyond."""
+    envelopes = event_envelopes(spark, sf)
+    last = envelopes.agg(F.max("offset")).first()[0] or 0
+    return [envelopes.filter(F.col("offset") <= last // 2), envelopes.filter(F.col("offset") > last // 2)]
+
+
+def topic_snapshot(spark, sf):
+    """A stored topic of two appends, read between two offset specs and decoded: one partition left out, one cut at each end."""
+    root = scratch_dir(spark, "topic")
+    for half in _halves(spark, sf):
+        topic_log.append_topic(half, root)
+    starting = json.dumps({TOPIC: {"0": -2, "2": 100, "3": -2}})
+    ending = json.dumps({TOPIC: {"0": -1, "1": -1, "2": -1, "3": 5000}})
+    picked = topic_log.read_stored_topic(spark, root, TOPIC, starting, ending)
+    return zoneless(val.validate(picked, schemas.ORDER_V2, [schemas.ORDER_V1]).valid)
+
+
 def split_valid(spark, sf):
     return zoneless(corrupted_split(spark, sf).valid)
 
@@ -464,6 +482,18 @@ def stream_window_agg(spark, sf):
     return zoneless(_drained(spark, stream_agg.aggregate_stream(valid, "1 day"), root))
 
 
+def stream_topic_resume(spark, sf):
+    """A tail of a stored topic, stopped between two appends and started again: every offset once, none lost."""
+    root = scratch_dir(spark, "topic-tail")
+    for half in _halves(spark, sf):
+        topic_log.append_topic(half, f"{root}/topic")
+        stream = topic_log.stream_stored_topic(spark, f"{root}/topic", TOPIC, "earliest", fail_on_loss=True)
+        valid = val.validate(stream, schemas.ORDER_V2, [schemas.ORDER_V1]).valid
+        writer = valid.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+        stream_sinks.triggered(writer.option("path", f"{root}/out"), None, True).start().awaitTermination()
+    return zoneless(spark.read.schema(schemas.ORDER_ROW).parquet(f"{root}/out"))
+
+
 def stream_ticking(spark, sf):
     """The same under a processing-time trigger, stopped once everything was processed."""
     envelopes = event_envelopes(spark, sf, corrupt=True).unionByName(sentinel(spark))
@@ -820,6 +850,7 @@ QUERIES = {
         hour_pattern,
         global_sum,
         envelope_offset_range,
+        topic_snapshot,
         split_valid,
         split_bad,
         split_counts,
@@ -846,6 +877,7 @@ QUERIES = {
         file_audit,
         batch_run_metrics,
         stream_window_agg,
+        stream_topic_resume,
         stream_ticking,
         stream_window_agg_exact,
         stream_window_agg_sketch,
