@@ -45,6 +45,14 @@ class Piece(NamedTuple):
     end: int
 
 
+class Held(NamedTuple):
+    """What is stored of one partition: offsets from ``start`` to before ``end``, ascending pieces; none if all have expired."""
+
+    pieces: list[Piece]
+    start: int
+    end: int
+
+
 class OffsetRange(InputPartition):
     """What one task reads."""
 
@@ -56,26 +64,18 @@ class OffsetRange(InputPartition):
 # ---- writing -----------------------------------------------------------------------------------------------------
 
 
-def _entries(spark: SparkSession, root: str) -> dict[int, dict]:
-    """Every index entry by its number, read by the driver."""
-    out = {}
-    for name, _ in listed(spark, f"{root}/index"):
-        if name.endswith(".json") and not name.startswith("."):
-            place, fs = located(spark, f"{root}/index/{name}")
-            stream = fs.open(place)
-            try:
-                out[int(name.removesuffix(".json"))] = json.loads(bytes(stream.readAllBytes()))
-            finally:
-                stream.close()
-    return out
+def _numbers(spark: SparkSession, root: str) -> list[int]:
+    names = [name for name, _ in listed(spark, f"{root}/index")]
+    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
 
 
-def _ends(entries: dict[int, dict]) -> dict[tuple[str, str], int]:
-    ends: dict[tuple[str, str], int] = {}
-    for _, entry in sorted(entries.items()):
-        for topic, partitions in entry["topics"].items():
-            ends |= {(topic, partition): end for partition, (_, end) in partitions.items()}
-    return ends
+def _entry(spark: SparkSession, root: str, number: int) -> dict:
+    place, fs = located(spark, f"{root}/index/{ENTRY.format(number)}")
+    stream = fs.open(place)
+    try:
+        return json.loads(bytes(stream.readAllBytes()))
+    finally:
+        stream.close()
 
 
 def append_topic(envelopes: DataFrame, root: str, range_rows: int = RANGE_ROWS) -> int | None:
@@ -83,8 +83,9 @@ def append_topic(envelopes: DataFrame, root: str, range_rows: int = RANGE_ROWS)
 
     Offsets of a partition must lie at or beyond its end, as a topic only grows; gaps are allowed, and repeated offsets within
     one append stay as they are. Anything else raises ValueError and leaves the topic as it was, as do names with other characters
-    than a topic's, and null topics, partitions and offsets. Other columns are not stored. The rows are shuffled once, by partition and range of offsets, so a partition that
-    holds most rows is still written by many tasks. The driver holds one pair of offsets for each partition.
+    than a topic's, and null topics, partitions and offsets. Other columns are not stored. The rows are shuffled once, by partition
+    and range of offsets, so a partition that holds most rows is still written by many tasks. The driver holds one pair of
+    offsets for each partition.
     """
     spark = envelopes.sparkSession
     root = root.rstrip("/")
@@ -113,32 +114,35 @@ def append_topic(envelopes: DataFrame, root: str, range_rows: int = RANGE_ROWS)
 
 
 def _publish(spark: SparkSession, root: str, folder: str, found: list) -> int:
+    """Create the next entry, which also carries the ends of all partitions: nobody has to read more than the last one."""
     while True:
-        entries = _entries(spark, root)
-        ends = _ends(entries)
+        last = max(_numbers(spark, root), default=None)
+        ends = {} if last is None else _entry(spark, root, last)["ends"]
         topics: dict[str, dict] = {}
         for r in found:
-            end = ends.get((r["topic"], str(r["partition"])), 0)
+            own = ends.setdefault(r["topic"], {})
+            end = own.get(str(r["partition"]), 0)
             if r["first"] < end:
                 raise ValueError(f"{r['topic']} {r['partition']}: offset {r['first']} lies before the end {end}")
             topics.setdefault(r["topic"], {})[str(r["partition"])] = [end, r["last"] + 1]
-        number = max(entries, default=-1) + 1
-        text = json.dumps({"folder": folder, "topics": topics}, sort_keys=True)
+            own[str(r["partition"])] = r["last"] + 1
+        number = 0 if last is None else last + 1
+        text = json.dumps({"folder": folder, "topics": topics, "ends": ends}, sort_keys=True)
         if put_if_absent(spark, f"{root}/index/{ENTRY.format(number)}", text):
             return number
 
 
 def expire(spark: SparkSession, root: str, before: int) -> None:
-    """Remove the appends numbered below ``before``; the last one always stays, since it holds the topic's place.
+    """Remove the appends numbered below ``before``; the last one always stays, since it holds the ends of all partitions.
 
     Entries go before their rows, oldest first, so that no reader plans rows that are gone.
     """
     root = root.rstrip("/")
-    entries = _entries(spark, root)
-    for number in sorted(entries)[:-1]:
+    for number in _numbers(spark, root)[:-1]:
         if number < before:
+            folder = _entry(spark, root, number)["folder"]
             remove(spark, f"{root}/index/{ENTRY.format(number)}")
-            remove(spark, f"{root}/{entries[number]['folder']}")
+            remove(spark, f"{root}/{folder}")
 
 
 # ---- reading -----------------------------------------------------------------------------------------------------
@@ -148,33 +152,31 @@ class TopicLog:
     """The index of one topic as Python sees it. Entries never change, so each is read once by one reader."""
 
     def __init__(self, path: str, topic: str, range_rows: int, fail_on_loss: bool):
-        self.fs, self.root = FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (None, path)
-        if self.fs is None:
-            self.fs, self.root = FileSystem.from_uri(f"file://{path}")
-        self.root, self.topic = self.root.rstrip("/"), topic
+        self.fs, root = FileSystem.from_uri(path if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) else f"file://{path}")
+        self.root, self.topic = root.rstrip("/"), topic
         self.range_rows, self.fail_on_loss = range_rows, fail_on_loss
         self.known: dict[str, dict] = {}
 
-    def pieces(self) -> dict[str, list[Piece]]:
-        """What is stored of each partition, ascending."""
+    def held(self) -> dict[str, Held]:
+        """What is stored of each partition that the topic has or had."""
         selector = FileSelector(f"{self.root}/index", allow_not_found=True)
-        names = sorted(i.base_name for i in self.fs.get_file_info(selector) if i.base_name.endswith(".json"))
-        names = [n for n in names if not n.startswith(".")]
+        names = sorted(i.base_name for i in self.fs.get_file_info(selector))
+        names = [n for n in names if n.endswith(".json") and not n.startswith(".")]
         for name in names:
             if name not in self.known:
                 with self.fs.open_input_stream(f"{self.root}/index/{name}") as stream:
                     self.known[name] = json.loads(stream.read())
-        out: dict[str, list[Piece]] = {}
-        for name in names:
-            entry = self.known[name]
-            for partition, (start, end) in entry["topics"].get(self.topic, {}).items():
-                out.setdefault(partition, []).append(Piece(entry["folder"], start, end))
+        entries = [self.known[name] for name in names]
+        out = {}
+        for partition, end in (entries[-1]["ends"].get(self.topic, {}) if entries else {}).items():
+            own = [(e["folder"], e["topics"].get(self.topic, {}).get(partition)) for e in entries]
+            pieces = [Piece(folder, *offsets) for folder, offsets in own if offsets]
+            out[partition] = Held(pieces, pieces[0].start if pieces else end, end)
         return out
 
-    def bounds(self, spec: str, pieces: dict[str, list[Piece]]) -> dict[str, int]:
+    def bounds(self, spec: str, held: dict[str, Held]) -> dict[str, int]:
         """Offsets that a spec stands for: ``earliest``, ``latest``, or JSON by partition, where -2 and -1 are the two words."""
-        first = {p: held[0].start for p, held in pieces.items()}
-        last = {p: held[-1].end for p, held in pieces.items()}
+        first, last = ({p: h.start for p, h in held.items()}, {p: h.end for p, h in held.items()})
         if spec in ("earliest", "latest"):
             return first if spec == "earliest" else last
         named = {str(p): int(o) for p, o in json.loads(spec).get(self.topic, {}).items()}
@@ -182,42 +184,34 @@ class TopicLog:
             raise ValueError(f"offsets below {EARLIEST} mean nothing: {spec}")
         return {p: first.get(p, 0) if o == EARLIEST else last.get(p, 0) if o == LATEST else o for p, o in named.items()}
 
-    def ranges(self, start: dict[str, int], end: dict[str, int], pieces: dict[str, list[Piece]]) -> list[OffsetRange]:
-        """Tasks for the offsets from ``start`` to before ``end``.
+    def ranges(self, start: dict[str, int], end: dict[str, int], held: dict[str, Held]) -> list[OffsetRange]:
+        """Tasks for the offsets from ``start`` to before ``end`` of the partitions that both name.
 
         Offsets that were asked for and are not stored any more, or not yet, are lost data: they raise, or are left out.
         """
         out = []
-        for partition in sorted(end, key=int):
-            if partition not in start or start[partition] >= end[partition] and not self.shrunk(partition, start, end):
-                continue
+        for partition in sorted(start.keys() & end.keys(), key=int):
             at, until = start[partition], end[partition]
-            held = pieces.get(partition, [])
-            stored = (held[0].start, held[-1].end) if held else (0, 0)
-            if self.fail_on_loss and (at < stored[0] or until > stored[1]):
+            own = held.get(partition, Held([], 0, 0))
+            if self.fail_on_loss and at != until and (at > until or at < own.start or until > own.end):
                 raise ValueError(
-                    f"{self.topic} {partition}: offsets {at} to {until} were asked for, {stored[0]} to {stored[1]} are stored"
+                    f"{self.topic} {partition}: offsets {at} to {until} were asked for, {own.start} to {own.end} are stored"
                 )
-            for piece in held:
+            for piece in own.pieces:
                 low, high = max(at, piece.start), min(until, piece.end)
                 for cut in range(low, high, self.range_rows):
                     out.append(OffsetRange(int(partition), Piece(piece.folder, cut, min(cut + self.range_rows, high))))
         return out
 
-    def shrunk(self, partition: str, start: dict[str, int], end: dict[str, int]) -> bool:
-        if self.fail_on_loss and start[partition] > end[partition]:
-            raise ValueError(f"{self.topic} {partition}: the end went back from {start[partition]} to {end[partition]}")
-        return False
-
     def batches(self, task: OffsetRange) -> Iterator[pa.RecordBatch]:
         place = f"{self.root}/{task.piece.folder}/topic={self.topic}/partition={task.partition}"
         files = ds.dataset(place, filesystem=self.fs, format="parquet")
         offset = ds.field("offset")
         own = (offset >= task.piece.start) & (offset < task.piece.end)
-        types = {"topic": pa.string(), "partition": pa.int32()}
+        place_of = ((self.topic, pa.string()), (task.partition, pa.int32()))
         for batch in files.to_batches(columns=["offset", "timestamp", "value"], filter=own):
             if batch.num_rows:
-                same = [pa.repeat(pa.scalar(v, types[n]), batch.num_rows) for n, v in (("topic", self.topic), ("partition", task.partition))]
+                same = [pa.repeat(pa.scalar(v, kind), batch.num_rows) for v, kind in place_of]
                 times = batch.column("timestamp").cast(pa.timestamp("us", tz="UTC"))
                 columns = [*same, batch.column("offset"), times, batch.column("value")]
                 yield pa.RecordBatch.from_arrays(columns, names=ENVELOPE_COLUMNS)
@@ -228,8 +222,8 @@ class SnapshotReader(DataSourceReader):
         self.log, self.starting, self.ending = log, starting, ending
 
     def partitions(self) -> list[OffsetRange]:
-        pieces = self.log.pieces()
-        return self.log.ranges(self.log.bounds(self.starting, pieces), self.log.bounds(self.ending, pieces), pieces)
+        held = self.log.held()
+        return self.log.ranges(self.log.bounds(self.starting, held), self.log.bounds(self.ending, held), held)
 
     def read(self, partition: OffsetRange | None) -> Iterator[pa.RecordBatch]:
         # Spark plans one task without a range where there is nothing to read.
@@ -243,14 +237,14 @@ class TailReader(DataSourceStreamReader):
         self.log, self.starting = log, starting
 
     def initialOffset(self) -> dict:
-        return self.log.bounds(self.starting, self.log.pieces())
+        return self.log.bounds(self.starting, self.log.held())
 
     def latestOffset(self) -> dict:
-        return self.log.bounds("latest", self.log.pieces())
+        return self.log.bounds("latest", self.log.held())
 
     def partitions(self, start: dict, end: dict) -> list[OffsetRange]:
-        pieces = self.log.pieces()
-        return self.log.ranges(self.log.bounds("earliest", pieces) | start, end, pieces)
+        held = self.log.held()
+        return self.log.ranges(self.log.bounds("earliest", held) | start, end, held)
 
     def read(self, partition: OffsetRange) -> Iterator[pa.RecordBatch]:
         return self.log.batches(partition)
