@@ -142,3 +142,14 @@ def test_latest_takes_the_greatest_number(spark):
         F.lit("s").alias("subject"), F.col("id").cast("int").alias("version"), F.col("id").cast("string").alias("schema")
     )
     assert reg.latest(frame).first()["schema"] == "19"
+
+
+def test_storing_is_dealt_over_the_cores(spark, tmp_path):
+    """Versions that one task holds are written by several, each still in a file of its own."""
+    root = str(tmp_path / "many")
+    rows = [(f"s{i % 3}", i, ORDER_V1) for i in range(60)]
+    store_registry(spark.createDataFrame(rows, SHAPE).coalesce(1), root)
+    parts = [p.name for p in (tmp_path / "many").rglob("part-*")]
+    assert len(parts) == 60
+    assert len({name[: len("part-00000")] for name in parts}) > 1
+    assert listed(read_registry(spark, root)) == sorted((f"s{i % 3}", i) for i in range(60))
