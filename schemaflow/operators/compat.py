@@ -6,6 +6,8 @@ row, so that the only shuffle is the one which brings the two versions together.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,10 +66,17 @@ def _violation(kind: str, field: Column, old: Column | None = None, new: Column
         field.alias("field_name"),
         old.alias("old_value"),
         new.alias("new_value"),
-        F.format_string(MESSAGES[kind], field, old, new).alias("message"),
+        _text(MESSAGES[kind], field, old, new).alias("message"),
     )
 
 
+def _text(pattern: str, *values: Column) -> Column:
+    """``pattern`` with ``%1$s`` and so on replaced, null as "null", as format_string does, which reads the pattern again in every row."""
+    pieces = re.split(r"%(\d)\$s", pattern)
+    shown = [F.lit(x) if i % 2 == 0 else F.coalesce(values[int(x) - 1], F.lit("null")) for i, x in enumerate(pieces)]
+    return F.concat(*shown)
+
+
 def _nothing() -> Column:
     return F.array().cast(f"array<{VIOLATION_TYPE}>")
 
@@ -81,29 +90,26 @@ def _record_names(writer: Column, reader: Column) -> Column:
     return _one_if(renamed, _violation("RecordNameMismatch", F.lit(ROOT_FIELD), writer["full_name"], reader["full_name"]))
 
 
-def _matched(writer: Column, reader: Column) -> Column:
-    """Each reader field with the writer field it reads: that of its name, else the first one its aliases list."""
+def _source(writer: Column, field: Column) -> Column:
+    """The writer field that a reader field reads: that of its name, else the first one its aliases list."""
     names = writer["names"]
+    by_alias = F.get(F.filter(names, lambda n: F.array_contains(field["aliases"], n)), F.lit(0))
+    known = F.when(F.array_contains(names, field["name"]), field["name"]).otherwise(by_alias)
+    place = F.array_position(names, known) - 1
+    return F.get(writer["fields"], place.cast("int"))
 
-    def pair(field: Column) -> Column:
-        by_alias = F.get(F.filter(names, lambda n: F.array_contains(field["aliases"], n)), F.lit(0))
-        known = F.when(F.array_contains(names, field["name"]), field["name"]).otherwise(by_alias)
-        place = F.array_position(names, known) - 1
-        return F.struct(field.alias("reader"), F.get(writer["fields"], place.cast("int")).alias("writer"))
-
-    return F.transform(reader["fields"], pair)
 
-
-def _field_rules(match: Column) -> Column:
-    field, source = match["reader"], match["writer"]
+def _field_rules(field: Column, source: Column) -> Column:
     unfilled = ~field["has_default"] & ~field["is_nullable"]
     safe = (source["tag"] == field["tag"]) | F.concat(source["tag"], F.lit(">"), field["tag"]).isin(*SAFE_PROMOTIONS)
     opened = ~source["is_nullable"] & field["is_nullable"] & ~field["has_default"]
-    return F.when(source.isNull(), _one_if(unfilled, _violation("MissingDefault", field["name"]))).otherwise(
-        F.concat(
-            _one_if(~safe, _violation("TypeIncompatible", field["name"], source["tag"], field["tag"])),
-            _one_if(opened, _violation("NonNullableMadeNullable", field["name"])),
-        )
+    retyped = _violation("TypeIncompatible", field["name"], source["tag"], field["tag"])
+    loosened = _violation("NonNullableMadeNullable", field["name"])
+    return (
+        F.when(source.isNull(), _one_if(unfilled, _violation("MissingDefault", field["name"])))
+        .when(safe, _one_if(opened, loosened))
+        .when(opened, F.array(retyped, loosened))
+        .otherwise(F.array(retyped))
     )
 
 
@@ -140,9 +146,13 @@ def _columns(fields: Column) -> Column:
     return F.struct(names.alias("names"), tags.alias("tags"))
 
 
-def _one_way(writer: Column, reader: Column) -> Column:
-    by_field = F.flatten(F.transform(_matched(writer, reader), _field_rules))
-    return F.concat(_record_names(writer, reader), by_field, _renames(writer, reader))
+def _one_way(writer: Column, reader: Column) -> list[Column]:
+    """Arrays of violations, in rule order."""
+    # No struct of both fields in between: a higher-order function copies what its body gives.
+    rules = F.transform(reader["fields"], lambda f: let(_source(writer, f), lambda source: _field_rules(f, source)))
+    # Each array that is put together costs more than a look at its size.
+    by_field = F.flatten(F.filter(rules, lambda found: F.size(found) > 0))
+    return [_record_names(writer, reader), by_field, _renames(writer, reader)]
 
 
 def _removed_required(old: Column, new: Column) -> Column:
@@ -175,9 +185,9 @@ def violations(old: Column, new: Column, level: str) -> Column:
         old, new = pair["old"], pair["new"]
         parts = []
         if level in ("backward", "full"):
-            parts.append(_one_way(old, new))
+            parts.extend(_one_way(old, new))
         if level in ("forward", "full"):
-            parts.append(_one_way(new, old))
+            parts.extend(_one_way(new, old))
         if level in ("backward", "full"):
             parts.append(_removed_required(old, new))
         both_records = old["is_record"] & new["is_record"]

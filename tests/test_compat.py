@@ -7,7 +7,7 @@ import pytest
 import rules_oracle
 from conftest import plan_of
 
-from schemaflow.functions.schema_docs import read_doc
+from schemaflow.functions.schema_docs import SchemaReader, read_doc
 from schemaflow.operators import compat
 from schemaflow.schemas import ORDER_V1, ORDER_V2, ORDER_V3
 
@@ -370,3 +370,23 @@ def test_random_pairs_equal_the_plain_rules(spark, level):
     for row in compat.check(pairs_frame(spark, named).repartition(8), level).collect():
         got = [(v["kind"], v["field_name"], v["old_value"], v["new_value"]) for v in row["violations"]]
         assert got == rules_oracle.check(*named[row["subject"]], level), named[row["subject"]]
+
+
+def test_fields_of_a_text_are_read_once(monkeypatch):
+    read, calls = SchemaReader.fields, []
+    monkeypatch.setattr(SchemaReader, "fields", lambda self, *args: calls.append(args[1]) or read(self, *args))
+    doc = read_doc(rec(f("a", aliases=["b"]), f("c", ["null", "int"], default=None)))
+    assert calls == [doc["full_name"]]
+    assert doc["names"] == ["a", "c"] and doc["field_aliases"] == ["b"]
+    assert [x["is_nullable"] for x in doc["fields"]] == [False, True]
+
+
+def test_a_field_can_break_two_rules(spark):
+    """Both violations of one field, in rule order, with the texts that format_string gave."""
+    old, new = rec(f("a", "string")), rec(f("a", ["null", "int"]))
+    rows = compat.check(pairs_frame(spark, {"one": (old, new)}), "backward").collect()
+    found = [(v["kind"], v["message"]) for v in rows[0]["violations"]]
+    assert found == [
+        ("TypeIncompatible", "field 'a' type changed from 'STRING' to 'INT' which is not a safe promotion"),
+        ("NonNullableMadeNullable", "field 'a' was non-nullable; making it nullable requires a default"),
+    ]
