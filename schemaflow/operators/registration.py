@@ -73,7 +73,8 @@ def _with_latest(offered: DataFrame, registry: DataFrame) -> DataFrame:
     newest = registry.groupBy("subject").agg(
         F.max(F.struct("version", F.struct(*columns).alias("of"))).alias("newest"), F.count(F.lit(1)).alias("versions")
     )
-    both = offered.join(newest, "subject", "left")
+    # Both sides grow with the registry, and compressed files make them look small enough to broadcast.
+    both = offered.join(newest.hint("merge"), "subject", "left")
     doc = F.col("newest.of.doc") if "doc" in columns else schema_doc(F.col("newest.of.schema"))
     both = both.withColumns({"top": F.col("newest.version"), "doc": doc}).drop("newest")
     return both.withColumn("doc", valid_doc(F.col("doc"), F.col("subject")))
@@ -154,7 +155,8 @@ def register_sequence(registry: DataFrame, candidates: DataFrame, level: str = "
     Each is checked against the last one accepted before it, at first the latest version; otherwise as :func:`register`, whose columns
     come back with ``ord``. Equal numbers ``ord`` are ordered by text; a null one comes first. The decisions of a subject depend
     on each other, so they are one fold over an array, whose state is the last accepted schema; more than SEQUENCE_BLOCK
-    candidates of a subject take several rounds, of which each holds one block of them. No candidates give no rows.
+    candidates of a subject take several rounds, of which each holds one block of them. Decisions keep the columns of their
+    candidates, so that these are not joined again, and nothing is broadcast. No candidates give no rows.
     """
     order = Window.partitionBy("subject").orderBy("ord", "schema")
     numbered = candidates.select("subject", "ord", "schema", (F.row_number().over(order) - 1).cast("long").alias("at"))
@@ -165,13 +167,20 @@ def register_sequence(registry: DataFrame, candidates: DataFrame, level: str = "
     decided = None
     for first in range(0, (last or 0) + 1, SEQUENCE_BLOCK):
         block = numbered.filter(F.col("at").between(first, first + SEQUENCE_BLOCK - 1))
-        offered = block.groupBy("subject").agg(F.sort_array(F.collect_list(F.struct("at", "schema", "doc"))).alias("offered"))
+        offered = block.groupBy("subject").agg(F.sort_array(F.collect_list(F.struct("at", "ord", "schema", "doc"))).alias("offered"))
         folded = _folded(F.col("offered"), F.col("doc"), F.col("versions"), level)
-        rows = state.join(offered, "subject", "left").select(
-            "subject", "top", F.when(F.col("offered").isNotNull(), folded).alias("after"), "doc", "versions"
+        rows = state.join(offered.hint("merge"), "subject", "left").select(
+            "subject",
+            "top",
+            F.transform("offered", lambda one: F.struct(one["ord"].alias("ord"), one["schema"].alias("schema"))).alias("offered"),
+            F.when(F.col("offered").isNotNull(), folded).alias("after"),
+            "doc",
+            "versions",
         )
         rows = _stored(rows, "sequence")
-        found = rows.select("subject", "top", F.explode("after.decided").alias("of")).select("subject", "top", "of.*")
+        # Decisions are in the order of the candidates.
+        both = F.arrays_zip("offered", "after.decided")
+        found = rows.select("subject", "top", F.explode(both).alias("of")).select("subject", "top", "of.offered.*", "of.decided.*")
         decided = found if decided is None else decided.unionByName(found)
         state = rows.select(
             "subject",
@@ -179,7 +188,7 @@ def register_sequence(registry: DataFrame, candidates: DataFrame, level: str = "
             F.when(F.col("after").isNull(), F.col("doc")).otherwise(F.col("after.doc")).alias("doc"),
             F.coalesce("after.versions", "versions").alias("versions"),
         )
-    return numbered.select("subject", "ord", "schema", "at").join(decided, ["subject", "at"]).select(
+    return decided.select(
         "subject",
         "ord",
         "schema",

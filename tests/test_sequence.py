@@ -173,3 +173,17 @@ def test_a_file_registry_is_parsed_once(spark, tmp_path):
     assert [r["violations"] for r in checked.collect()] == [[]]
     # One reader; the second use is of its exchange.
     assert plan_of(checked).split("== Initial Plan ==")[0].count("ArrowEvalPython") == 1
+
+
+def test_no_join_brings_the_candidates_back(spark):
+    """Decisions carry their candidates: stored texts compress so well that a join would broadcast them whole."""
+    rows = [(f"s{i % 4}", i, ORDER_V1) for i in range(40)]
+    got = reg.register_sequence(spark.createDataFrame([], NOTHING), spark.createDataFrame(rows, OFFERED))
+    assert "Join" not in plan_of(got) and "Broadcast" not in plan_of(got)
+    assert sorted((r["subject"], r["ord"], r["schema"]) for r in got.collect()) == sorted(rows)
+
+
+def test_latest_versions_are_not_broadcast(spark):
+    known = spark.createDataFrame([("a", 1, ORDER_V1)], SHAPE)
+    plan = plan_of(reg.register(known, spark.createDataFrame([("a", ORDER_V2)], "subject string, schema string")))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
