@@ -20,7 +20,7 @@ from schemaflow.operators import aggregate as agg
 from schemaflow.operators import compat, dedup, metrics, registration, sinks
 from schemaflow.operators import validate as val
 from schemaflow.plans.batch import run_batch, write_both
-from schemaflow.session import scratch_dir, setting
+from schemaflow.session import scratch_dir, setting, state_on_disk, stored_bytes
 from schemaflow.sources import generator, registry, tables, topic_log, topics
 from schemaflow.streaming import aggregate as stream_agg
 from schemaflow.streaming import ledger
@@ -30,6 +30,7 @@ from schemaflow.streaming.job import StreamPaths, run_stream
 
 TOPIC = "orders"
 SENTINEL = "sentinel"
+STATE_BYTES = 8 << 20
 # Payloads that no order schema reads. A negative length, nothing, an over-long number, a text longer than what
 # follows, null, and an end after two fields.
 CORRUPT = ("00010203", "", "FFFFFFFFFFFFFFFFFFFFFF", "0861", None, "02610262")
@@ -452,11 +453,17 @@ def sentinel(spark) -> DataFrame:
     return as_envelopes(row)
 
 
-def _state_partitions(spark):
-    """While a stream runs, keyed state is sized by the cores where nobody set a number of shuffle partitions."""
+def state_count(cores: int, stored: int) -> int:
+    """Partitions of keyed state: full rounds of the cores in which none holds more than STATE_BYTES of the stored input."""
+    return cores * max(1, -(-stored // (STATE_BYTES * cores)))
+
+
+def _state_partitions(spark, stored: int = 0):
+    """While a stream runs, keyed state is sized by the cores and the input where nobody set a number of shuffle partitions."""
     key = "spark.sql.shuffle.partitions"
     chosen = spark.sparkContext.getConf().get(key) is not None
-    return setting(spark, key, spark.conf.get(key) if chosen else str(spark.sparkContext.defaultParallelism))
+    sized = state_count(spark.sparkContext.defaultParallelism, stored)
+    return setting(spark, key, spark.conf.get(key) if chosen else str(sized))
 
 
 def _stored_stream(spark, envelopes: DataFrame, label: str) -> tuple[str, DataFrame]:
@@ -532,9 +539,11 @@ def stream_sketch_rollup(spark, sf):
     """Hours streamed with mergeable sketches, rolled up to days and segments without the orders."""
     root, stream = _stored_stream(spark, event_envelopes(spark, sf).unionByName(sentinel(spark)), "rollup")
     valid = val.validate(stream, schemas.ORDER_V2).valid
-    with _state_partitions(spark):
+    # More state partitions must not mean more files in each of the many directories.
+    writers = max(1, spark.sparkContext.defaultParallelism // 16)
+    with _state_partitions(spark, stored_bytes(spark, f"{root}/in")), state_on_disk(spark):
         query = stream_sinks.write_aggregates(
-            stream_agg.sketch(valid, "1 hour"), f"{root}/out", f"{root}/checkpoint", available_now=True
+            stream_agg.sketch(valid, "1 hour"), f"{root}/out", f"{root}/checkpoint", available_now=True, writers=writers
         )
         query.awaitTermination()
     hours = agg.in_segments(stream_agg.read_sketches(spark, f"{root}/out"), SENTINEL)
